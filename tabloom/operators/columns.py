@@ -24,17 +24,16 @@ def discover_categories(
     column for each of its values is not a table any more.
     """
     cols = list(cols)
-    tagged = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("at"),
-                *[(F.col(c) if j == i else F.lit(None)).alias(f"v{j}") for j, c in enumerate(cols)],
-            )
-            for i in range(len(cols))
-        ]
-    )
+    values = df.select(*cols)
+    kinds = [field.dataType for field in values.schema]
+
+    def tag(i):
+        slots = [F.col(c) if j == i else F.lit(None).cast(kinds[j]) for j, c in enumerate(cols)]
+        return F.struct(F.lit(i).alias("at"), *[s.alias(f"v{j}") for j, s in enumerate(slots)])
+
+    tagged = F.array(*[tag(i) for i in range(len(cols))])
     limit = max_categories * len(cols) + len(cols) + 1
-    rows = df.select(F.explode(tagged).alias("t")).select("t.*").distinct().limit(limit).collect()
+    rows = values.select(F.explode(tagged).alias("t")).select("t.*").distinct().limit(limit).collect()
     found = {c: [r[f"v{i}"] for r in rows if r["at"] == i] for i, c in enumerate(cols)}
     found = {c: sorted(v for v in values if v is not None) for c, values in found.items()}
     wide = [c for c, values in found.items() if len(values) > max_categories]
