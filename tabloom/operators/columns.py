@@ -17,7 +17,7 @@ def categories(df: DataFrame, col: str) -> DataFrame:
 def discover_categories(
     df: DataFrame, cols: Sequence[str], max_categories: int = 1000
 ) -> dict[str, list]:
-    """Distinct non-null values of every column in ``cols``, sorted, from one job.
+    """Distinct values of every column in ``cols``, sorted, from one job; null comes last.
 
     The columns are stacked before one ``distinct``, which combines on the map side. At most
     ``max_categories`` values per column reach the driver; a wider column raises, because a 0/1
@@ -35,8 +35,8 @@ def discover_categories(
     limit = max_categories * len(cols) + len(cols) + 1
     rows = values.select(F.explode(tagged).alias("t")).select("t.*").distinct().limit(limit).collect()
     found = {c: [r[f"v{i}"] for r in rows if r["at"] == i] for i, c in enumerate(cols)}
-    found = {c: sorted(v for v in values if v is not None) for c, values in found.items()}
-    wide = [c for c, values in found.items() if len(values) > max_categories]
+    found = {c: sorted(values, key=lambda v: (v is None, v)) for c, values in found.items()}
+    wide = [c for c, values in found.items() if sum(v is not None for v in values) > max_categories]
     if wide:
         raise ValueError(f"more than {max_categories} categories in {wide}")
     return found
@@ -52,8 +52,8 @@ def one_hot(
 ) -> DataFrame:
     """Put one 0/1 column per category in front of the old columns; none is left out.
 
-    A null value gives 0 in all of them. ``null_category`` adds the column ``None`` for a column
-    in which null occurs; it is always 0. Given ``categories`` no job runs and a category that
+    A null value gives 0 in all of them. With ``null_category`` a null among the categories has a
+    column too, named ``None`` and always 0. Given ``categories`` no job runs and a category that
     the data lacks is a zero column. ``prefix`` names the new columns ``column_category``.
     """
     cols = list(cols)
@@ -61,10 +61,6 @@ def one_hot(
     missing = [c for c in cols if c not in known]
     if missing:
         known.update(discover_categories(df, missing, max_categories))
-    with_null = set()
-    if null_category:
-        flags = df.agg(*[F.bool_or(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-        with_null = {c for c, flag in zip(cols, flags.first()) if flag}
 
     def name(col, category):
         return f"{col}_{category}" if prefix else str(category)
@@ -72,10 +68,9 @@ def one_hot(
     dummies = {}
     taken = Counter(c.lower() for c in df.columns)
     for col in cols:
-        values = list(known[col]) + ([None] if col in with_null else [])
-        for value in values:
+        for value in known[col]:
             label = name(col, value)
-            if value is None and label in dummies:
+            if value is None and (not null_category or label in dummies):
                 continue
             taken[label.lower()] += 1
             dummies[label] = F.when(F.col(col) == F.lit(value), 1).otherwise(0).alias(label)

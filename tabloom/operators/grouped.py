@@ -16,7 +16,7 @@ from pyspark.sql.types import IntegerType, StructType
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import BROADCAST_BYTES, KEY, ROWS, attach
 from tabloom.operators.ranks import grouped_quantiles
-from tabloom.sources.shared import materialize
+from tabloom.sources.shared import materialize, spread, training_table
 
 FILL = "fill_"
 GROUP = "group_number_"
@@ -70,8 +70,8 @@ def grouped_map(
     """Apply a pandas function group by group; result columns match ``schema`` by name.
 
     With ``statistics`` (a name and an aggregate for each) Spark computes these per group, and
-    ``fn`` gets *pieces* of a group with the statistics as extra columns. Rows are not shuffled
-    and a group of any size is spread over all tasks.
+    ``fn`` gets batches of rows in which every row carries the statistics of its own group. Rows
+    are not shuffled for small statistics, and a group of any size is spread over all tasks.
 
     Without them ``fn`` gets each group whole. The largest group is measured first and one above
     ``max_group_rows`` raises before any data moves, as no single process could hold it.
@@ -82,7 +82,7 @@ def grouped_map(
         if largest > max_group_rows:
             raise ValueError(
                 f"a group has {largest} rows, more than {max_group_rows}; "
-                "pass statistics to work on pieces of a group"
+                "pass statistics to work on batches of rows instead"
             )
         return df.groupBy(*by).applyInPandas(fn, schema)
 
@@ -92,12 +92,11 @@ def grouped_map(
         names = StructType.fromDDL(schema).names
     joined = attach(df, per_group(df, by, statistics), by, broadcast_bytes)
 
-    def pieces(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    def apply(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
-            for _, piece in batch.groupby(by, dropna=False, sort=False):
-                yield fn(piece.reset_index(drop=True))[names]
+            yield fn(batch)[names]
 
-    return joined.mapInPandas(pieces, schema)
+    return joined.mapInPandas(apply, schema)
 
 
 def _fill(df: DataFrame, target: str) -> DataFrame:
@@ -126,7 +125,7 @@ def _impute_median(df, by, target, broadcast_bytes):
     return _fill(attach(df, groups, by, broadcast_bytes), target)
 
 
-def _forest(features, target, seed, trees, depth):
+def _forest(features, target, seed, trees, depth, bootstrap):
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_")
     forest = RandomForestRegressor(
         featuresCol="features_",
@@ -135,12 +134,13 @@ def _forest(features, target, seed, trees, depth):
         numTrees=trees,
         maxDepth=depth,
         featureSubsetStrategy="all",
+        bootstrap=bootstrap,
         seed=seed,
     )
     return assembler, forest
 
 
-def _impute_forest(df, by, target, features, seed, trees, depth, max_groups, parallelism):
+def _impute_forest(df, by, target, features, forest_options, max_groups, parallelism):
     spark = df.sparkSession
     keys = df.groupBy(group_key(by).alias(KEY)).agg(
         F.count(target).alias("known_"), F.sum(target).alias("sum_"), F.count("*").alias(ROWS)
@@ -164,13 +164,13 @@ def _impute_forest(df, by, target, features, seed, trees, depth, max_groups, par
     numbered = df.withColumn(KEY, group_key(by)).join(F.broadcast(number), KEY).drop(KEY)
     stored = materialize(numbered, partition_by=GROUP)
     known, missing = missing_split(stored, target)
-    assembler, forest = _forest(features, target, seed, trees, depth)
+    assembler, forest = _forest(features, target, **forest_options)
 
     def fit(i):
         if found[i]["known_"] in (0, found[i][ROWS]):
             return None
         train = known.where(F.col(GROUP) == i).select(*features, target)
-        return forest.fit(assembler.transform(train))
+        return forest.fit(assembler.transform(spread(train, found[i]["known_"])))
 
     with ThreadPool(max(1, min(parallelism, len(found)))) as pool:
         models = pool.map(inheritable_thread_target(spark)(fit), range(len(found)))
@@ -189,16 +189,16 @@ def _impute_forest(df, by, target, features, seed, trees, depth, max_groups, par
     return result
 
 
-def _impute_pooled(df, by, target, features, seed, trees, depth, broadcast_bytes):
+def _impute_pooled(df, by, target, features, forest_options, broadcast_bytes):
     groups = per_group(df, by, {"sum_": F.sum(target), "known_": F.count(target)})
     whole = groups.agg(F.sum("sum_") / F.nullif(F.sum("known_"), F.lit(0))).first()[0]
     if whole is None:
         return df
     level = F.coalesce(F.col("sum_") / F.col("known_"), F.lit(whole)).alias("group_level_")
-    stored = materialize(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes))
+    stored = training_table(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes))
     known, missing = missing_split(stored, target)
     inputs = [*features, "group_level_"]
-    assembler, forest = _forest(inputs, target, seed, trees, depth)
+    assembler, forest = _forest(inputs, target, **forest_options)
     model = forest.fit(assembler.transform(known.select(*inputs, target)))
     predicted = model.transform(assembler.transform(missing)).withColumn(
         target, F.col(FILL).cast(df.schema[target].dataType)
@@ -215,6 +215,7 @@ def grouped_impute(
     seed: int = 1,
     trees: int = 100,
     depth: int = 10,
+    bootstrap: bool = True,
     max_groups: int = 50,
     parallelism: int = 4,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -236,8 +237,7 @@ def grouped_impute(
         raise ValueError(f"unknown strategy {strategy!r}")
     if not features:
         raise ValueError(f"the strategy {strategy} needs features")
+    options = {"seed": seed, "trees": trees, "depth": depth, "bootstrap": bootstrap}
     if strategy == "forest":
-        return _impute_forest(
-            df, by, target, features, seed, trees, depth, max_groups, parallelism
-        )
-    return _impute_pooled(df, by, target, features, seed, trees, depth, broadcast_bytes)
+        return _impute_forest(df, by, target, features, options, max_groups, parallelism)
+    return _impute_pooled(df, by, target, features, options, broadcast_bytes)

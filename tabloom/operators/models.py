@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
+from pyspark.ml.param.shared import HasSeed
 from pyspark.sql import DataFrame
 
 from tabloom.sources.shared import shared_folder
@@ -35,7 +37,7 @@ class ModelSpec:
         params = dict(self.params)
         if self.hidden_layers:
             params["layers"] = [inputs, *self.hidden_layers, classes]
-        if self.estimator.__init__.__kwdefaults__ and hasattr(self.estimator, "seed"):
+        if issubclass(self.estimator, HasSeed):
             params["seed"] = seed
         return self.estimator(**{**params, **overrides})
 
@@ -133,8 +135,13 @@ def fit_predict(
 ) -> tuple[Model, DataFrame]:
     """Fit on ``train``, add predictions to ``test``.
 
-    The shared folder is set up first: boosted trees cut their lineage there.
+    A fit reads its rows several times, so they are kept until it ends. The shared folder is set
+    up first: boosted trees cut their lineage there.
     """
     shared_folder(train.sparkSession)
-    model = estimator.fit(train)
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(kept)
+    finally:
+        kept.unpersist()
     return model, model.transform(test)

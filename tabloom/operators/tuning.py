@@ -47,8 +47,9 @@ def cross_validate(
 ) -> tuple[CrossValidatorModel, str]:
     """Search ``grid`` (by default the one of ``spec``) and refit the best entry on all of ``train``.
 
-    Folds come from the hash of ``key``, so they do not depend on the partitioning. Returns the
-    search result and the best parameters as text.
+    Folds come from the hash of ``key``, so they do not depend on the partitioning. Every fold and
+    the last fit read ``train``, so it should be a stored table. Returns the search result and the
+    best parameters as text.
     """
     shared_folder(train.sparkSession)
     estimator = spec.build(inputs, classes, seed)

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
 from tabloom.operators.split import Key, hash_split
 from tabloom.operators.tuning import cross_validate, evaluator
 from tabloom.schemas import COMPARISON_SCHEMA, FEATURES, TARGET
-from tabloom.sources.shared import materialize
+from tabloom.sources.shared import training_table
 
 # The models of the comparison in order, and the title of a searched one.
 COMPARED = ("logistic", "random_forest", "gbt", "decision_tree", "mlp", "naive_bayes")
@@ -66,41 +65,37 @@ def compare_models(
     """
     key = list(keys)
     frames = train_and_test(df, key, features, target, key, seed=seed)
-    train, test = [materialize(part) for part in frames]
-    cached = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (train, test)]
+    train, test = [training_table(part) for part in frames]
     grids = dict(grids or {})
     rows, confidences = [], []
 
     def record(title, spec, predictions, parameters):
         scores = {m: evaluator(m).evaluate(predictions) for m in spec.measures}
         rows.append((title, scores.get("auc"), scores.get("accuracy"), parameters))
-        confidences.append(
-            predictions.select(F.lit(title).alias("model"), confidence().alias("confidence"))
-        )
-
-    try:
-        for name in models:
-            spec = CLASSIFIERS[name]
-            estimator = spec.build(len(features), classes, seed)
-            _, predictions = fit_predict(estimator, train, test)
-            record(spec.title, spec, predictions, STANDARD)
-            if spec.grid is None:
-                continue
-            found, parameters = cross_validate(
-                spec,
-                train,
-                len(features),
-                key,
-                folds,
-                grids.get(name),
-                classes,
-                seed,
-                parallelism,
+        if "probability" in predictions.columns:
+            confidences.append(
+                predictions.select(F.lit(title).alias("model"), confidence().alias("confidence"))
             )
-            predictions = found.bestModel.transform(test)
-            record(SEARCHED_TITLE.format(spec.title), spec, predictions, parameters)
-    finally:
-        for part in cached:
-            part.unpersist()
+
+    for name in models:
+        spec = CLASSIFIERS[name]
+        estimator = spec.build(len(features), classes, seed)
+        _, predictions = fit_predict(estimator, train, test)
+        record(spec.title, spec, predictions, STANDARD)
+        if spec.grid is None:
+            continue
+        found, parameters = cross_validate(
+            spec,
+            train,
+            len(features),
+            key,
+            folds,
+            grids.get(name),
+            classes,
+            seed,
+            parallelism,
+        )
+        predictions = found.bestModel.transform(test)
+        record(SEARCHED_TITLE.format(spec.title), spec, predictions, parameters)
     table = df.sparkSession.createDataFrame(rows, COMPARISON_SCHEMA)
     return Comparison(table, reduce(DataFrame.unionByName, confidences))

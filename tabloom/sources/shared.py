@@ -2,15 +2,20 @@
 
 A table that several later jobs read is written once to this folder. That cuts the lineage, so a
 lost executor costs a re-read and not a recomputation, and Spark knows its size from the files.
+Results that are still to be run may read these tables, so whoever owns the folder removes an
+application's tables when it has ended.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_CORE = 100_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, else the checkpoint folder already set.
@@ -32,7 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; all paths of one application lie together."""
+    folder = f"{shared_folder(spark)}/tabloom-{spark.sparkContext.applicationId}"
+    return f"{folder}/table-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -47,3 +54,21 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` over as many cores as its number of rows is worth, for work repeated on them.
+
+    A table of few files would keep the other cores idle. Where there are files enough, as in any
+    large table, nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(cores, math.ceil(rows / ROWS_PER_CORE))
+    return df.repartition(wanted) if len(df.inputFiles()) < wanted else df
+
+
+def training_table(df: DataFrame) -> DataFrame:
+    """Stored table for fits that read it many times, in files enough to occupy the cores."""
+    stored = materialize(df)
+    even = spread(stored, stored.count())
+    return stored if even is stored else materialize(even)
