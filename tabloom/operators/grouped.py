@@ -21,6 +21,10 @@ from tabloom.sources.shared import materialize, spread, training_table
 FILL = "fill_"
 GROUP = "group_number_"
 
+# The resample of a tree draws each row a Poisson number of times. Below this many rows it could
+# well draw none, and the tree would predict 0; such groups are fitted without resampling.
+RESAMPLED_ROWS = 30
+
 
 def missing_split(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose target is known, and rows whose target is missing."""
@@ -140,6 +144,10 @@ def _forest(features, target, seed, trees, depth, bootstrap):
     return assembler, forest
 
 
+def _fit_forest(forest, train, rows):
+    return forest.fit(train, {} if rows >= RESAMPLED_ROWS else {forest.bootstrap: False})
+
+
 def _impute_forest(df, by, target, features, forest_options, max_groups, parallelism):
     spark = df.sparkSession
     keys = df.groupBy(group_key(by).alias(KEY)).agg(
@@ -169,8 +177,9 @@ def _impute_forest(df, by, target, features, forest_options, max_groups, paralle
     def fit(i):
         if found[i]["known_"] in (0, found[i][ROWS]):
             return None
+        rows = found[i]["known_"]
         train = known.where(F.col(GROUP) == i).select(*features, target)
-        return forest.fit(assembler.transform(spread(train, found[i]["known_"])))
+        return _fit_forest(forest, assembler.transform(spread(train, rows)), rows)
 
     with ThreadPool(max(1, min(parallelism, len(found)))) as pool:
         models = pool.map(inheritable_thread_target(spark)(fit), range(len(found)))
@@ -191,15 +200,16 @@ def _impute_forest(df, by, target, features, forest_options, max_groups, paralle
 
 def _impute_pooled(df, by, target, features, forest_options, broadcast_bytes):
     groups = per_group(df, by, {"sum_": F.sum(target), "known_": F.count(target)})
-    whole = groups.agg(F.sum("sum_") / F.nullif(F.sum("known_"), F.lit(0))).first()[0]
-    if whole is None:
+    whole = groups.agg(F.sum("sum_").alias("sum"), F.sum("known_").alias("known")).first()
+    if not whole["known"]:
         return df
-    level = F.coalesce(F.col("sum_") / F.col("known_"), F.lit(whole)).alias("group_level_")
+    mean = F.lit(whole["sum"] / whole["known"])
+    level = F.coalesce(F.col("sum_") / F.col("known_"), mean).alias("group_level_")
     stored = training_table(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes))
     known, missing = missing_split(stored, target)
     inputs = [*features, "group_level_"]
     assembler, forest = _forest(inputs, target, **forest_options)
-    model = forest.fit(assembler.transform(known.select(*inputs, target)))
+    model = _fit_forest(forest, assembler.transform(known.select(*inputs, target)), whole["known"])
     predicted = model.transform(assembler.transform(missing)).withColumn(
         target, F.col(FILL).cast(df.schema[target].dataType)
     )
