@@ -136,7 +136,7 @@ def fit_logistic(spark, sf_dir):
     ),
 )
 def fit_logistic_one_flag(spark, sf_dir):
-    predictions = _classify(spark, sf_dir, "logistic", ["female"], tol=1e-8)
+    predictions = _classify(spark, sf_dir, "logistic", ["female"])
     positive = F.round(vector_to_array("probability")[1], 4).alias("probability")
     return predictions.select("PassengerId", "label", positive)
 

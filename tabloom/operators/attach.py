@@ -12,6 +12,7 @@ from tabloom.functions.keys import group_key
 KEY = "group_key_"
 ROWS = "group_rows_"
 BROADCAST_BYTES = 8 * 1024 * 1024
+HOT_BYTES = 8 * 1024 * 1024
 HOT_GROUPS = 1000
 
 
@@ -22,23 +23,31 @@ def attach(
 
     ``per_group`` is a stored table with the key struct ``KEY``, the group's row count ``ROWS``
     and the values to attach. Its size is measured. If it is small it is broadcast and ``df`` is
-    not shuffled. Otherwise the groups with more than 1/1000 of all rows, of which there are
-    fewer than 1000, are broadcast to their rows, and only the rows of the other groups are
-    shuffled, so no task gets more than a small share of the rows whatever the skew.
+    not shuffled. Otherwise the hot groups, those with more than 1/1000 of all rows, are broadcast
+    to their rows, and only the rows of the other groups are shuffled. There are fewer than 1000
+    hot groups, and if their keys are long the share is raised until they fit into ``HOT_BYTES``.
+    So no task gets more than a small share of the rows, whatever the skew.
+
+    ``df`` is read once, or twice if there are hot groups; store it first if it is costly.
     """
     values = [c for c in per_group.columns if c not in (KEY, ROWS)]
-    key_bytes = F.octet_length(F.to_json(KEY)).cast("bigint")
+    row_bytes = F.octet_length(F.to_json(KEY)).cast("bigint") + 16 * (len(values) + 1)
     size = per_group.agg(
-        F.sum(key_bytes + 16 * (len(values) + 1)).alias("bytes"), F.sum(ROWS).alias("rows")
+        F.sum(row_bytes).alias("bytes"),
+        F.max(row_bytes).alias("widest"),
+        F.sum(ROWS).alias("rows"),
+        F.max(ROWS).alias("largest"),
     ).first()
     keyed = df.withColumn(KEY, group_key(by))
     lookup = per_group.drop(ROWS)
     if (size["bytes"] or 0) <= broadcast_bytes:
         return keyed.join(F.broadcast(lookup), KEY, "left").drop(KEY)
 
-    is_hot = F.col(ROWS) > size["rows"] / HOT_GROUPS
-    hot = per_group.where(is_hot).drop(ROWS)
-    cold = per_group.where(~is_hot).drop(ROWS)
-    hot_rows = keyed.join(F.broadcast(hot), KEY)
-    cold_rows = keyed.join(F.broadcast(hot.select(KEY)), KEY, "left_anti").join(cold, KEY, "left")
-    return hot_rows.unionByName(cold_rows).drop(KEY)
+    hot_rows = size["rows"] / max(1, min(HOT_GROUPS, HOT_BYTES // size["widest"]))
+    if size["largest"] <= hot_rows:
+        return keyed.join(lookup, KEY, "left").drop(KEY)
+    hot = per_group.where(F.col(ROWS) > hot_rows).drop(ROWS)
+    cold = per_group.where(F.col(ROWS) <= hot_rows).drop(ROWS)
+    joined_hot = keyed.join(F.broadcast(hot), KEY)
+    others = keyed.join(F.broadcast(hot.select(KEY)), KEY, "left_anti")
+    return joined_hot.unionByName(others.join(cold, KEY, "left")).drop(KEY)

@@ -46,6 +46,14 @@ def test_hot_groups_are_not_shuffled(skewed):
     assert "Union" in text and "LeftAnti" in text
 
 
+def test_even_groups_are_shuffled_once(spark):
+    df = spark.range(0, 9000, 1, 6).selectExpr("id", "cast(id % 3000 as string) as g", "id * 1.0D as x")
+    result = grouped_standardize(df, ["g"], ["x"], 0)
+    assert "Union" not in result._jdf.queryExecution().executedPlan().toString()
+    assert result.count() == 9000
+    assert abs(result.agg(F.sum("x")).first()[0]) < 1e-6
+
+
 def test_constant_group_scales_to_zero_and_nulls_stay(spark):
     df = spark.createDataFrame([(1, "a", 5.0, None), (2, "a", 5.0, 1.0)], SCHEMA)
     rows = frame(grouped_standardize(df, ["g"], ["x", "y"]))
