@@ -200,10 +200,14 @@ def hash_split_query(spark, sf_dir):
     return passengers(spark, sf_dir).select("PassengerId", part)
 
 
-@query("random_split")
+# Which rows go where is Spark's own choice; both parts together are the table.
+@query(
+    "random_split",
+    with_p(f"SELECT PassengerId, {quoted(CLEAN_COLUMNS)} FROM e", ENCODED_CTE),
+)
 def random_split_query(spark, sf_dir):
     train, test = random_split(encode(passengers(spark, sf_dir), ["PassengerId"]), [0.7, 0.3], 1)
-    return train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    return train.unionByName(test)
 
 
 @query("fold_assign", with_p(f"SELECT PassengerId, {FOLD_SQL} AS fold FROM p"))

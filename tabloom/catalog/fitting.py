@@ -37,6 +37,13 @@ CELL_MEAN_SQL = with_p(
     SPLIT_CTE,
     CELLS_CTE,
 )
+CELL_MAJORITY_SQL = with_p(
+    f"""SELECT PassengerId, Survived AS label, CAST(mean > 0.5 AS DOUBLE) AS prediction
+ FROM s JOIN m USING ({CELL_SQL}) WHERE part = 1""",
+    ENCODED_CTE,
+    SPLIT_CTE,
+    CELLS_CTE,
+)
 
 
 def parts(spark, sf_dir, features=FEATURES):
@@ -156,21 +163,27 @@ def fit_decision_tree(spark, sf_dir):
     return _classified(spark, sf_dir, "decision_tree")
 
 
-@query(
-    "fit_decision_tree_cells",
-    with_p(
-        f"""SELECT PassengerId, Survived AS label, CAST(mean > 0.5 AS DOUBLE) AS prediction
- FROM s JOIN m USING ({CELL_SQL}) WHERE part = 1""",
-        ENCODED_CTE,
-        SPLIT_CTE,
-        CELLS_CTE,
-    ),
-)
-def fit_decision_tree_cells(spark, sf_dir):
-    predictions = _classify(spark, sf_dir, "decision_tree", CELL)
+def _cell_class(spark, sf_dir, name, **overrides):
+    predictions = _classify(spark, sf_dir, name, CELL, **overrides)
     return predictions.select("PassengerId", "label", "prediction")
 
 
+@query("fit_decision_tree_cells", CELL_MAJORITY_SQL)
+def fit_decision_tree_cells(spark, sf_dir):
+    return _cell_class(spark, sf_dir, "decision_tree")
+
+
+@query("fit_random_forest_cells", CELL_MAJORITY_SQL)
+def fit_random_forest_cells(spark, sf_dir):
+    options = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+    return _cell_class(spark, sf_dir, "random_forest", **options)
+
+
+@query("fit_gbt_cells", CELL_MAJORITY_SQL)
+def fit_gbt_cells(spark, sf_dir):
+    return _cell_class(spark, sf_dir, "gbt", maxIter=5)
+
+
 @query("fit_mlp")
 def fit_mlp(spark, sf_dir):
     return _classified(spark, sf_dir, "mlp")
@@ -196,7 +209,37 @@ def fit_mlp_embeddings(spark, sf_dir):
     return chosen.select(*keys, "label", "prediction", "confidence")
 
 
-@query("fit_naive_bayes")
+_FEATURES_SQL = ", ".join(f'"{c}"' for c in FEATURES)
+
+
+# Features are scaled with the training rows, summed per class, and scored on the test rows.
+@query(
+    "fit_naive_bayes",
+    with_p(
+        """SELECT PassengerId, label, CAST(arg_max(class, score) AS DOUBLE) AS prediction,
+ round(1 / sum(exp(score - top)), 6) AS confidence
+ FROM (SELECT *, max(score) OVER (PARTITION BY PassengerId) AS top FROM r)
+ GROUP BY PassengerId, label""",
+        ENCODED_CTE,
+        """g AS (SELECT * REPLACE (coalesce(Age, avg(Age) OVER (PARTITION BY Pclass)) AS Age) FROM e)""",
+        f"s AS (SELECT *, {PART_SQL} AS part FROM g)",
+        f"""w AS (SELECT PassengerId, Survived AS label, part, {_FEATURES_SQL} FROM s)""",
+        f"u AS (UNPIVOT w ON {_FEATURES_SQL} INTO NAME feature VALUE amount)",
+        """d AS (SELECT feature, stddev_samp(amount) AS deviation FROM u WHERE part = 0
+ GROUP BY feature)""",
+        """x AS (SELECT PassengerId, label, part, feature, amount / deviation AS amount
+ FROM u JOIN d USING (feature))""",
+        """t AS (SELECT label AS class, feature, sum(amount) AS total FROM x WHERE part = 0
+ GROUP BY label, feature)""",
+        "a AS (SELECT class, sum(total) AS whole FROM t GROUP BY class)",
+        """n AS (SELECT label AS class, ln((count(*) + 1) / ((SELECT count(*) FROM s WHERE part = 0) + 2))
+ AS pi FROM s JOIN (SELECT PassengerId, label FROM w) USING (PassengerId) WHERE part = 0 GROUP BY label)""",
+        """r AS (SELECT x.PassengerId, x.label, t.class,
+ any_value(n.pi) + sum(x.amount * ln((t.total + 1) / (a.whole + 12))) AS score
+ FROM x JOIN t USING (feature) JOIN a USING (class) JOIN n USING (class) WHERE x.part = 1
+ GROUP BY x.PassengerId, x.label, t.class)""",
+    ),
+)
 def fit_naive_bayes(spark, sf_dir):
     return _classified(spark, sf_dir, "naive_bayes")
 
@@ -275,6 +318,12 @@ def fit_rf_regressor(spark, sf_dir):
     return _regressed(spark, sf_dir, "random_forest", FEATURES)
 
 
+@query("fit_rf_regressor_cells", CELL_MEAN_SQL)
+def fit_rf_regressor_cells(spark, sf_dir):
+    options = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+    return _regressed(spark, sf_dir, "random_forest", **options)
+
+
 @query("fit_gbt_regressor", CELL_MEAN_SQL)
 def fit_gbt_regressor(spark, sf_dir):
     return _regressed(spark, sf_dir, "gbt")

@@ -67,21 +67,26 @@ def impute_rf(spark, sf_dir):
 
 # A single tree without resampling, grown out on 0/1 columns, predicts the mean of the known rows with
 # the same features.
-@query(
-    "impute_rf_one_tree",
-    with_p(
-        """SELECT PassengerId, e.Pclass, round(coalesce(e.Age, m.mean), 6) AS Age FROM e JOIN m
+CELL_AGES_SQL = with_p(
+    """SELECT PassengerId, e.Pclass, round(coalesce(e.Age, m.mean), 6) AS Age FROM e JOIN m
  ON e.Pclass = m.Pclass AND e.female = m.female AND e.low = m.low AND e.mid = m.mid
  AND e."Very_low" = m."Very_low" AND e."very_high" = m."very_high" """,
-        ENCODED_CTE,
-        """m AS (SELECT Pclass, female, low, mid, "Very_low", "very_high", avg(Age) AS mean
+    ENCODED_CTE,
+    """m AS (SELECT Pclass, female, low, mid, "Very_low", "very_high", avg(Age) AS mean
  FROM e GROUP BY ALL)""",
-    ),
 )
+
+
+@query("impute_rf_one_tree", CELL_AGES_SQL)
 def impute_rf_one_tree(spark, sf_dir):
     return _ages(spark, sf_dir, "forest", CELL, trees=1, bootstrap=False)
 
 
+@query("impute_pooled_one_tree", CELL_AGES_SQL)
+def impute_pooled_one_tree(spark, sf_dir):
+    return _ages(spark, sf_dir, "pooled_forest", CELL, trees=1, bootstrap=False)
+
+
 @query("impute_pooled_forest")
 def impute_pooled_forest(spark, sf_dir):
     return _ages(spark, sf_dir, "pooled_forest", DUMMIES, trees=20)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tabloom.catalog.cleaning import passenger_key
-from tabloom.catalog.fitting import parts
-from tabloom.catalog.registry import query, rounded
+from tabloom.catalog.fitting import CELL, CELL_SQL, parts
+from tabloom.catalog.registry import ENCODED_CTE, FOLD_SQL, PART_SQL, query, rounded, with_p
 from tabloom.operators.evaluate import confidence_summary
 from tabloom.operators.models import CLASSIFIERS
 from tabloom.operators.tuning import cross_validate
@@ -23,19 +23,19 @@ SMALL_GRIDS = {
 }
 
 
-def _search(spark, sf_dir, name):
-    train = training_table(parts(spark, sf_dir)[0])
+def _search(spark, sf_dir, name, features=FEATURES, grid=None):
+    train = training_table(parts(spark, sf_dir, features)[0])
     spec = CLASSIFIERS[name]
-    found, best = cross_validate(
-        spec, train, len(FEATURES), passenger_key(), folds=2, grid=SMALL_GRIDS[name]
-    )
+    grid = SMALL_GRIDS[name] if grid is None else grid
+    found, best = cross_validate(spec, train, len(features), passenger_key(), folds=2, grid=grid)
     rows = [
         (i, {p.name: str(v) for p, v in entry.items()}, float(metric), best)
         for i, (entry, metric) in enumerate(zip(found.getEstimatorParamMaps(), found.avgMetrics))
     ]
     schema = "entry int, parameters map<string,string>, metric double, best string"
     result = spark.createDataFrame(rows, schema)
-    return rounded(result.selectExpr("entry", "to_json(parameters) AS parameters", "metric", "best"), ["metric"])
+    result = result.selectExpr("entry", "to_json(parameters) AS parameters", "metric", "best")
+    return rounded(result, ["metric"])
 
 
 @query("cv_logistic")
@@ -58,6 +58,31 @@ def cv_decision_tree(spark, sf_dir):
     return _search(spark, sf_dir, "decision_tree")
 
 
+# A tree grown out on the cells predicts their majority, so the metric of each fold is known.
+@query(
+    "cv_decision_tree_cells",
+    with_p(
+        """SELECT entry, parameters, metric, 'maxDepth: 5 - maxBins: 4' AS best
+ FROM (SELECT round(avg(f1), 6) AS metric FROM scored), (VALUES
+ (0, '{"maxDepth":"5","maxBins":"4"}'), (1, '{"maxDepth":"5","maxBins":"6"}')) v(entry, parameters)""",
+        ENCODED_CTE,
+        f"s AS (SELECT *, {PART_SQL} AS part, {FOLD_SQL.replace('% 5', '% 2')} AS fold FROM e)",
+        f"""m AS (SELECT {CELL_SQL}, held, CAST(avg(Survived) > 0.5 AS DOUBLE) AS prediction
+ FROM s, (VALUES (0), (1)) h(held) WHERE part = 0 AND fold <> held GROUP BY ALL)""",
+        f"""x AS (SELECT held, Survived AS label, prediction FROM s JOIN m USING ({CELL_SQL})
+ WHERE part = 0 AND fold = held)""",
+        """k AS (SELECT held, c.label, count(*) FILTER (x.label = c.label) AS support,
+ 2.0 * count(*) FILTER (x.label = c.label AND x.prediction = c.label)
+ / (count(*) FILTER (x.label = c.label) + count(*) FILTER (x.prediction = c.label)) AS f1
+ FROM x, (SELECT DISTINCT label FROM x) c GROUP BY held, c.label)""",
+        "scored AS (SELECT held, sum(support * f1) / sum(support) AS f1 FROM k GROUP BY held)",
+    ),
+)
+def cv_decision_tree_cells(spark, sf_dir):
+    grid = {"maxDepth": [5], "maxBins": [4, 6]}
+    return _search(spark, sf_dir, "decision_tree", CELL, grid)
+
+
 @query("cv_mlp")
 def cv_mlp(spark, sf_dir):
     return _search(spark, sf_dir, "mlp")
