@@ -115,6 +115,21 @@ def linear_regression(spark, sf_dir):
     return rounded(predictions.select("PassengerId", "label", "prediction"), ["prediction"])
 
 
+# The penalty shrinks the slope of the standardized columns, so the mean point stays on the line.
+@query(
+    "linear_regression_ridge",
+    with_p(
+        """SELECT PassengerId, Survived AS label, round(avg(Survived) OVER ()
+ + regr_slope(Survived, Fare) OVER () / (1 + 0.01 / stddev_pop(Survived) OVER ())
+ * (Fare - avg(Fare) OVER ()), 6) AS prediction FROM p"""
+    ),
+)
+def linear_regression_ridge(spark, sf_dir):
+    df = to_label(passengers(spark, sf_dir), "Survived", ["Fare"], ["PassengerId"])
+    _, predictions = scaled_regression(df, ["Fare"])
+    return rounded(predictions.select("PassengerId", "label", "prediction"), ["prediction"])
+
+
 @query("scaled_regression")
 def scaled_regression_query(spark, sf_dir):
     df = to_label(

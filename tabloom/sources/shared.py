@@ -45,10 +45,14 @@ def new_path(spark: SparkSession) -> str:
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the table read back.
 
-    With ``partition_by`` a filter on that column reads only the matching files.
+    With ``partition_by`` a filter on that column reads only the matching files. The rows are
+    rebalanced first, or every task would write a small file for every value; adaptive execution
+    splits the partition of a frequent value over many tasks.
     """
     spark = df.sparkSession
     path = new_path(spark)
+    if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -59,10 +63,12 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """``df`` over as many cores as its number of rows is worth, for work repeated on them.
 
-    A table of few files would keep the other cores idle. Where there are files enough, as in any
-    large table, nothing is shuffled.
+    A small table in few files would keep the other cores idle. Where there are files enough, and
+    in any large table, nothing is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows > cores * 10 * ROWS_PER_CORE:
+        return df
     wanted = min(cores, math.ceil(rows / ROWS_PER_CORE))
     return df.repartition(wanted) if len(df.inputFiles()) < wanted else df
 
