@@ -9,7 +9,6 @@ application's tables when it has ended.
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ ROWS_PER_CORE = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, else the checkpoint folder already set.
 
-    Only a local session that names none gets a folder of its own.
+    A session that names neither uses a folder below its warehouse, which all executors share too.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -29,17 +28,26 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabloom-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/tabloom-shared")
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
 
 
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tabloom-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession) -> str:
     """A fresh path below the shared folder; all paths of one application lie together."""
-    folder = f"{shared_folder(spark)}/tabloom-{spark.sparkContext.applicationId}"
-    return f"{folder}/table-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
+def remove_tables(spark: SparkSession) -> bool:
+    """Delete the tables that this application has stored; call it once no result needs them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
