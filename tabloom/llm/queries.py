@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.llm import quality
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
+from tabloom.sources.shared import materialize
 
 
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +24,18 @@ def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    measured = materialize(quality.measure(docs).drop("text"))
+    cutoffs = quality.thresholds(measured, table(spark, sf_dir, "labels"))
+    return quality.judge(measured, cutoffs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op5_feistel_sharding": op5_feistel_sharding,
+    "op6_risk_controlled_rules": op6_risk_controlled_rules,
 }
 
 ORACLES: dict[str, str] = {}
