@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import quality
+from tabloom.llm import quality, secrets
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
 
 
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = secrets.find(docs, drop_text=True)
+    base = F.filter("findings", lambda x: x["kind"].isin(*secrets.BASE))
+
+    def number(field: str, value: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x[field] == value)).cast("long").alias(f"n_{value}")
+
+    return found.select(
+        "doc_id",
+        *[number("kind", kind) for kind in secrets.BASE],
+        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("findings")).alias("spans"),
+        *[number("class", name) for name in ("live", "example", "weak")],
+    )
+
+
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -34,6 +51,7 @@ def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secret_ownership": op3_secret_ownership,
     "op5_feistel_sharding": op5_feistel_sharding,
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
 }
