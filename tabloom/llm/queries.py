@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import quality, secrets
+from tabloom.llm import packing, pieces, quality, secrets
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -28,6 +31,12 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = packing.fill_windows(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    digested = filled.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.merge_leftovers(materialize(digested))
+
+
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -50,10 +59,25 @@ def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _piece_digest(ids, decoded: str) -> tuple[int, str, str]:
+    return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        digest=_piece_digest,
+        digest_schema="n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
+
+
 QUERIES = {
     "op3_secret_ownership": op3_secret_ownership,
+    "op4_bounded_space_packing": op4_bounded_space_packing,
     "op5_feistel_sharding": op5_feistel_sharding,
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
+    "op8_agenda_pieces": op8_agenda_pieces,
 }
 
 ORACLES: dict[str, str] = {}
