@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import packing, pieces, quality, secrets
+from tabloom.llm import language, packing, pieces, quality, secrets
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op1_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~_held_out()))
+    return language.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = secrets.find(docs, drop_text=True)
@@ -73,6 +83,7 @@ def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixture_language": op1_mixture_language,
     "op3_secret_ownership": op3_secret_ownership,
     "op4_bounded_space_packing": op4_bounded_space_packing,
     "op5_feistel_sharding": op5_feistel_sharding,
