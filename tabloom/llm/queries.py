@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import embeddings, language, packing, pieces, quality, secrets
+from tabloom.llm import embeddings, language, neardup, packing, pieces, quality, secrets
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -24,6 +24,10 @@ def op1_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = secrets.find(docs, drop_text=True)
@@ -104,6 +108,7 @@ FROM embeddings e
 
 QUERIES = {
     "op1_mixture_language": op1_mixture_language,
+    "op2_order_minhash": op2_order_minhash,
     "op3_secret_ownership": op3_secret_ownership,
     "op4_bounded_space_packing": op4_bounded_space_packing,
     "op5_feistel_sharding": op5_feistel_sharding,
