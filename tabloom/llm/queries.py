@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import embeddings, language, neardup, packing, pieces, quality, secrets
+from tabloom.llm import embeddings, language, neardup, packing, pieces, quality, secrets, templates
+from tabloom.llm.oracles import OP7_SQL, OP10_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -73,6 +74,12 @@ def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return templates.drop_templates(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
 def _piece_digest(ids, decoded: str) -> tuple[int, str, str]:
     return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
@@ -90,22 +97,6 @@ def op10_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-# All pairs, for the small tables that the queries are compared on.
-OP10_SQL = """
-WITH RECURSIVE good AS (
- SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
- WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(embedding, x -> x <> 0)) > 0),
-links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
- ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
-reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
- least(e.vec_id, (SELECT min(b) FROM reach r WHERE r.a = e.vec_id)) AS component_id,
- e.vec_id = least(e.vec_id, (SELECT min(b) FROM reach r WHERE r.a = e.vec_id)) AS kept
-FROM embeddings e
-"""
-
-
 QUERIES = {
     "op1_mixture_language": op1_mixture_language,
     "op2_order_minhash": op2_order_minhash,
@@ -113,8 +104,9 @@ QUERIES = {
     "op4_bounded_space_packing": op4_bounded_space_packing,
     "op5_feistel_sharding": op5_feistel_sharding,
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
+    "op7_log_templates": op7_log_templates,
     "op8_agenda_pieces": op8_agenda_pieces,
     "op10_rotation_codes": op10_rotation_codes,
 }
 
-ORACLES = {"op10_rotation_codes": OP10_SQL}
+ORACLES = {"op7_log_templates": OP7_SQL, "op10_rotation_codes": OP10_SQL}
