@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import embeddings, language, neardup, packing, pieces, quality, secrets, templates
+from tabloom.llm import embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
 from tabloom.llm.oracles import OP7_SQL, OP10_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
@@ -93,6 +93,19 @@ def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs), drop_text=True)
+    place = lambda x: F.concat_ws(":", x["line"].cast("string"), x["family"])
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("long").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["family"]))), ",").alias("families"),
+        F.array_join(F.transform("licences", place), ",").alias("places"),
+        F.array_min(F.transform("licences", lambda x: x["probability"])).alias("least_probability"),
+    )
+
+
 def op10_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -106,6 +119,7 @@ QUERIES = {
     "op6_risk_controlled_rules": op6_risk_controlled_rules,
     "op7_log_templates": op7_log_templates,
     "op8_agenda_pieces": op8_agenda_pieces,
+    "op9_licence_paragraphs": op9_licence_paragraphs,
     "op10_rotation_codes": op10_rotation_codes,
 }
 
