@@ -249,5 +249,8 @@ def scan(df: DataFrame, classifier: Classifier, text: str = "text", drop_text: b
         .groupBy("_l_row")
         .agg(F.array_sort(F.collect_list(F.struct("line", "family", "probability", "match"))).alias("licences"))
     )
-    joined = stored.drop("_l_found").join(licences, "_l_row", "left").drop("_l_row")
-    return joined.withColumn("licences", F.coalesce("licences", F.array().cast(licences.schema["licences"].dataType)))
+    # Rows without candidates are not shuffled.
+    none = F.array().cast(licences.schema["licences"].dataType)
+    found = stored.where(F.size("_l_found") > 0).join(licences, "_l_row", "left")
+    others = stored.where(F.coalesce(F.size("_l_found"), F.lit(0)) <= 0).withColumn("licences", none)
+    return found.withColumn("licences", F.coalesce("licences", none)).unionByName(others).drop("_l_row", "_l_found")

@@ -181,8 +181,11 @@ def find(
             )
         ).alias("findings")
     )
-    rows = stored.drop("_s_spans").join(findings, "_s_row", "left").drop("_s_row")
-    return rows.withColumn("findings", F.coalesce("findings", F.array().cast(findings.schema["findings"].dataType)))
+    # Rows without candidates, by far the most, are not shuffled.
+    none = F.array().cast(findings.schema["findings"].dataType)
+    found = hits.join(findings, "_s_row", "left").withColumn("findings", F.coalesce("findings", none))
+    others = stored.where(F.size("_s_spans") == 0).withColumn("findings", none)
+    return found.unionByName(others).drop("_s_row", "_s_spans")
 
 
 def joined(findings: Column) -> Column:
