@@ -6,8 +6,8 @@ from bisect import bisect_left
 
 import numpy as np
 
-#: Up to this distance diagonals are followed from mismatch to mismatch, beyond it the band is filled by rows.
-FOLLOWED = 64
+#: Up to this distance diagonals are followed from mismatch to mismatch, beyond it the band is filled by columns.
+FOLLOWED = 12
 
 
 def _followed(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
@@ -42,30 +42,42 @@ def _followed(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     return None
 
 
-def _rows(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """The distance if it is at most ``limit``: dynamic programming over rows of 2 * limit + 1 cells."""
-    la, lb = len(a), len(b)
-    width = 2 * limit + 1
-    big = la + lb + 1
-    offsets = np.arange(width)
-    padded = np.full(lb + 2 * width, -1, dtype=np.int64)
-    padded[width : width + lb] = b
-    # Cell c of row i stands for j = i - limit + c.
-    row = np.where((offsets >= limit) & (offsets - limit <= lb), offsets - limit, big)
-    for i in range(1, la + 1):
-        low = i - limit
-        compared = padded[width + low - 1 : width + low - 1 + width]
-        cost = row + (compared != a[i - 1])  # from (i - 1, j - 1)
-        cost[:-1] = np.minimum(cost[:-1], row[1:] + 1)  # from (i - 1, j)
-        j = offsets + low
-        cost[j < 0] = big
-        if low <= 0:
-            cost[-low] = i
-        cost[j > lb] = big
-        row = np.minimum.accumulate(cost - offsets) + offsets  # from (i, j - 1)
-        if row.min() > limit:
-            return None
-    distance = int(row[lb - la + limit])
+def _banded(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """The distance if it is at most ``limit``: the band of 2 * limit + 1 diagonals, a column at a time.
+
+    A column is held as bits, one per diagonal: where the distance rises (up) or falls (down) from one row to
+    the next. Whole columns are worked out by a few operations on long integers.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    rows, columns = len(a), len(b)
+    limit = min(limit, rows)
+    width = (1 << (2 * limit + 1)) - 1
+    at_word: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        at_word[word] = at_word.get(word, 0) | 1 << (i + limit)
+    up, down = width ^ ((1 << limit) - 1), 0
+    distance, last, bottom = limit, rows - limit, 1 << (2 * limit)
+    most = limit + columns - last
+    for j, word in enumerate(b.tolist()):
+        match = (at_word.get(word, 0) >> j) & width
+        free = ((((match & up) + up) ^ up) | match | down) & width
+        right_up = down | (width ^ (free | up))
+        right_down = free & up
+        if j < last:  # along the lowest diagonal
+            if not free & bottom:
+                distance += 1
+                if distance > most:
+                    return None
+        else:  # along the last row
+            bottom >>= 1
+            if right_up & bottom:
+                distance += 1
+            elif right_down & bottom:
+                distance -= 1
+        free >>= 1
+        up = right_down | (width ^ (free | right_up))
+        down = free & right_up
     return distance if distance <= limit else None
 
 
@@ -85,4 +97,4 @@ def distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     found = _followed(a, b, min(limit, FOLLOWED))
     if found is not None or limit <= FOLLOWED:
         return found
-    return _rows(a, b, limit)
+    return _banded(a, b, limit)

@@ -11,7 +11,7 @@ probability above 0.9999, of 0.6 with 0.999, of 0.4 with 0.94.
 2. Every text that shares an entry is compared with the smallest text of that entry. In groups of copies this
    already links nearly all, with one comparison each.
 3. What shares an entry but is not yet in one class is compared pair by pair within the entry, in blocks of
-   bounded size, until classes meet; pairs that word counts rule out are skipped. So no link between classes
+   bounded size, until classes meet; pairs that have too few words in common are skipped. So no link between classes
    is lost, and a large group does not cost the square of its size unless its texts really differ.
 
 Defined cases: a null text counts as empty; equal texts, empty ones too, are one class; texts of fewer than five
@@ -38,7 +38,6 @@ WORDS = 5
 ENTRIES = 16
 SIMILARITY = 0.8
 BLOCK_TEXTS = 256
-BAG_BINS = 128
 SEED = 11
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -124,8 +123,44 @@ def allowed(length: int, similarity: float) -> int:
     return int(length * (1 - similarity) + 1e-9)
 
 
-def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    return distance_within(a, b, allowed(max(len(a), len(b)), similarity)) is not None
+def occurrences(items: np.ndarray, base: int) -> np.ndarray:
+    """A number for every item (all below ``base``) together with its earlier occurrences in the array."""
+    order = np.argsort(items, kind="stable")
+    ordered, at = items[order], np.arange(len(items))
+    fresh = np.ones(len(items), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    seen = np.empty(len(items), dtype=np.int64)
+    seen[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    return items + seen * base
+
+
+def word_pairs(words: np.ndarray, base: int) -> np.ndarray:
+    """A number below base * base for every two neighbouring words."""
+    return words[:-1] * base + words[1:]
+
+
+# What texts within ``limit`` edits have in common at least, counted with repeats: an edit changes one word
+# and two neighbouring pairs at most.
+def least_words(length, limit):
+    return length - limit
+
+
+def least_pairs(length, limit):
+    return length - 1 - 2 * limit
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float, base: int) -> bool:
+    """Whether two texts of word numbers below ``base`` are similar enough; most others end at the counts."""
+    longer = max(len(a), len(b))
+    limit = allowed(longer, similarity)
+    if abs(len(a) - len(b)) > limit:
+        return False
+    common = lambda x, y, top: len(np.intersect1d(occurrences(x, top), occurrences(y, top), assume_unique=True))
+    return (
+        common(a, b, base) >= least_words(longer, limit)
+        and common(word_pairs(a, base), word_pairs(b, base), base * base) >= least_pairs(longer, limit)
+        and distance_within(a, b, limit) is not None
+    )
 
 
 def digest(text: str) -> Column:
@@ -158,12 +193,37 @@ def verify(pairs: DataFrame, similarity: float) -> DataFrame:
             keep = []
             for one, two in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b")):
                 known: dict[bytes, int] = {}
-                keep.append(similar(word_ids(one, known), word_ids(two, known), similarity))
+                a, b = word_ids(one, known), word_ids(two, known)
+                keep.append(similar(a, b, similarity, max(len(known), 1)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
+class Common:
+    """Counts the items that each text of a block has in common with every other, by inverted lists."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.n = len(items)
+        owner = np.repeat(np.arange(self.n), [len(x) for x in items])
+        _, number, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+        several = times[number] > 1
+        number, owner = number[several], owner[several]
+        order = np.argsort(number, kind="stable")
+        self.texts_of = owner[order]
+        self.starts = np.searchsorted(number[order], np.arange(len(times) + 1))
+        self.items_of = np.split(number, np.searchsorted(owner, np.arange(1, self.n)))
+
+    def with_text(self, i: int) -> np.ndarray:
+        numbers = self.items_of[i]
+        starts, sizes = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return np.zeros(self.n, dtype=np.int64)
+        places = np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
+        return np.bincount(self.texts_of[places], minlength=self.n)
+
+
 def compare_block(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Edges that join classes among the texts of an entry (or of two of its blocks)."""
     crossing = int(frame["first"].iat[0]) != int(frame["second"].iat[0])
@@ -171,22 +231,27 @@ def compare_block(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
     known: dict[bytes, int] = {}
     texts = [word_ids(text, known) for text in frame["text"]]
     lengths = np.asarray([len(t) for t in texts])
-    bags = np.stack([np.bincount(t % BAG_BINS, minlength=BAG_BINS) for t in texts]).astype(np.int32)
     label = frame["class"].factorize()[0]
     block = frame["block"].to_numpy()
+    base = max(len(known), 1)
+    words = Common([occurrences(text, base) for text in texts])
+    pairs = Common([occurrences(word_pairs(text, base), base * base) for text in texts])
     edges = []
     for i in range(len(texts) - 1):
         rest = np.arange(i + 1, len(texts))
-        limit = (np.maximum(lengths[rest], lengths[i]) * (1 - similarity) + 1e-9).astype(int)
-        rest_ok = (label[rest] != label[i]) & (np.abs(lengths[rest] - lengths[i]) <= limit)
+        ok = label[rest] != label[i]
         if crossing:
-            rest_ok &= block[rest] != block[i]
-        rest, limit = rest[rest_ok], limit[rest_ok]
-        # Every edit changes the surplus of words on either side by one at most.
-        more = bags[rest] - bags[i]
-        surplus = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
-        for j in rest[surplus <= limit]:
-            if label[i] != label[j] and similar(texts[i], texts[j], similarity):
+            ok &= block[rest] != block[i]
+        if not ok.any():
+            continue
+        longer = np.maximum(lengths[rest], lengths[i])
+        limit = (longer * (1 - similarity) + 1e-9).astype(int)
+        ok &= np.abs(lengths[rest] - lengths[i]) <= limit
+        ok[ok] = pairs.with_text(i)[rest[ok]] >= least_pairs(longer, limit)[ok]
+        if ok.any():
+            ok[ok] = words.with_text(i)[rest[ok]] >= least_words(longer, limit)[ok]
+        for j, most in zip(rest[ok].tolist(), limit[ok].tolist()):
+            if label[i] != label[j] and distance_within(texts[i], texts[j], most) is not None:
                 edges.append((frame["node"].iat[i], frame["node"].iat[j]))
                 label[label == label[j]] = label[i]
     return pd.DataFrame(edges, columns=["a", "b"])
@@ -213,7 +278,7 @@ def near_duplicates(
     stars = materialize(grouped.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     bodies = df.select(digest(text).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = materialize(bodies.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
+    texts = materialize(bodies.join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     star_edges = materialize(verify(stars.join(side("a"), "a").join(side("b"), "b"), similarity))
     classes = components(star_edges)
