@@ -9,8 +9,7 @@ import pyarrow as pa
 #: Texts are worked on in groups of about this many characters, which bounds a task's memory.
 GROUP_CHARS = 1_000_000
 #: Entries of a cache of encoded words; it is emptied when full, which only costs time.
-CACHE_ENTRIES = 300_000
-CACHED_LENGTH = 64
+CACHE_ENTRIES = 800_000
 
 
 def groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
