@@ -12,8 +12,8 @@ different texts is recurring, and its lines are dropped.
   lines are read as tokens. A line on a third of all documents is one row per task before the shuffle.
 
 Defined cases: a null text stays null and has no lines; lines of fewer than ``min_tokens`` tokens and blank lines
-are always kept; repeated rows are treated alike; an empty table gives an empty result; helper columns
-carry the prefix ``_t_``.
+are always kept; repeated rows are treated alike; an empty table gives an empty result; columns named
+``n_lines`` or ``n_dropped`` are replaced; helper columns carry the prefix ``_t_``.
 """
 
 from __future__ import annotations
@@ -126,7 +126,8 @@ def drop_templates(df: DataFrame, text: str = "text", most_dropped: float = MOST
     drops = (
         hashed.join(recurring, "_t_hash").groupBy("_t_text").agg(F.collect_set("_t_hash").alias("_t_drops"))
     )
-    joined = df.withColumn("_t_text", _text_key(text)).join(materialize(drops), "_t_text", "left")
+    # Sorted on both sides at any size, so that the work grows evenly; a frequent text is split as skewed.
+    joined = df.withColumn("_t_text", _text_key(text)).join(materialize(drops).hint("merge"), "_t_text", "left")
 
     def dropped(line: Column) -> Column:
         bare = _stripped(line)
