@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
     # By row number, so that of repeated rows one stays, too; the smallest is the first as stored.
     kept = neardup.near_duplicates(rows, key="_row").where("kept").select("_row")
-    return rows.join(materialize(kept), "_row", "left_semi").select(*docs.columns)
+    return rows.join(materialize(kept).hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ All work on the corpus is native: column expressions and MLlib's JVM transformer
 the texts they come from, are grouped again by document.
 
 Defined cases: a null text has no paragraphs; empty and very short paragraphs are unknown; repeated rows get
-equal results; ties between families go to the first in the alphabet; an empty table gives an empty result.
+equal results; ties between families go to the first in the alphabet; an empty table gives an empty result; a
+column ``licences`` of the input is replaced.
 Helper columns carry the prefix ``_l_``.
 """
 
@@ -239,7 +240,7 @@ def scan(df: DataFrame, classifier: Classifier, text: str = "text", drop_text: b
         F.split(F.col(text), "\n"), lambda line, i: F.struct(i.alias("line"), words_of(line).alias("words"))
     )
     found = F.filter(lines, lambda x: F.exists(x["words"], lambda w: w.isin(ANCHORS)))
-    marked = df.withColumn("_l_found", found)
+    marked = df.drop("licences").withColumn("_l_found", found)
     marked = marked.drop(text) if drop_text else marked
     stored = materialize(marked.withColumn("_l_row", F.monotonically_increasing_id()))
     candidates = stored.select("_l_row", F.explode("_l_found").alias("x")).select("_l_row", "x.line", "x.words")

@@ -14,7 +14,7 @@ the one that rejects most bad documents is taken, and of several such the most l
 
 Defined cases: a null text counts as empty; a null stratum is a stratum of its own; several labels for a
 document count as good if any is good; repeated rows are judged alike; an empty table gives an empty
-result, an empty label table no cutoffs. Helper columns carry the prefix ``_q_``.
+result, an empty label table no cutoffs; columns named like a count or ``kept`` are replaced. Helper columns carry the prefix ``_q_``.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The rows with candidates, a small part, go through the counting; texts are read
 Values are counted as hashes, with map-side sums, so a value on a third of all rows is one row per task.
 
 Defined cases: a null text counts as empty; a null repository or owner counts as one repository or owner;
-repeated rows are counted once as repository and reported twice; an empty table gives an empty result.
+repeated rows are counted once as repository and reported twice; an empty table gives an empty result; a
+column ``findings`` of the input is replaced.
 Helper columns carry the prefix ``_s_``.
 """
 
@@ -153,7 +154,7 @@ def find(
     ``class`` is ``example`` for values that ``example_owners`` or more have, ``live`` for owner-specific
     ones that look random, else ``weak``. Findings are ordered by start, then kind as listed.
     """
-    scanned = scan(df, text)
+    scanned = scan(df.drop("findings"), text)
     scanned = scanned.drop(text) if drop_text else scanned
     stored = materialize(scanned.withColumn("_s_row", F.monotonically_increasing_id()))
     hits = stored.where(F.size("_s_spans") > 0)

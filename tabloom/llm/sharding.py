@@ -6,8 +6,8 @@ walking), so the whole is a bijection on [0, n). Shard and slot of any row then
 alone: ``shard = p mod shards`` and ``slot = p div shards``.
 
 Defined cases: null and equal keys are numbered like any other value (nulls first; rows with equal keys
-take neighbouring numbers); an empty table gives an empty result; column names are kept, and helper
-columns carry the prefix ``_sh_``.
+take neighbouring numbers); an empty table gives an empty result; columns are kept, those named like an
+output are replaced, and helper columns carry the prefix ``_sh_``.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ def numbered(df: DataFrame, order: Sequence[str], into: str = "row_number") -> t
     so one value on a third of all rows is spread over many ranges.
     """
     spark = df.sparkSession
+    df = df.drop(into)
     columns = df.columns
     placed = df.withColumn("_sh_read", F.monotonically_increasing_id())
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / ROWS_PER_RANGE))
