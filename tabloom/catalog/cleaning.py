@@ -23,7 +23,7 @@ from tabloom.operators.split import fold_number, part_number, random_split
 from tabloom.plans.clean import clean, encode, feature_engineering
 from tabloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, DUMMIES, FEATURES, RAW_SCHEMA
 from tabloom.sources.passengers import passengers, table
-from tabloom.sources.shared import new_path
+from tabloom.sources.shared import materialize, new_path
 from tabloom.sources.tables import read_table, write_table
 
 def passenger_key():
@@ -169,7 +169,9 @@ def distinct_categories(spark, sf_dir):
 )
 def one_hot_query(spark, sf_dir):
     df = feature_engineering(passengers(spark, sf_dir)).drop("Survived", "Pclass", "Age")
-    return one_hot(df, ["Sex", "family", "Embarked", "fare_group"], null_category=True)
+    known = {"family": ("large", "loner", "small"), "Embarked": ("C", "Q", "S", None)}
+    known |= {"Sex": ("female", "male"), "fare_group": ("Very_low", "high", "low", "mid", "very_high")}
+    return one_hot(df, ["Sex", "family", "Embarked", "fare_group"], known, null_category=True)
 
 
 @query("feature_engineering", with_p("SELECT * FROM f", ENGINEERED_CTE))
@@ -191,7 +193,7 @@ def clean_mean(spark, sf_dir):
 
 @query("clean_rf")
 def clean_rf(spark, sf_dir):
-    return rounded(clean(passengers(spark, sf_dir), "forest", trees=20), ["Age"])
+    return rounded(clean(passengers(spark, sf_dir), "forest"), ["Age"])
 
 
 @query("hash_split", with_p(f"SELECT PassengerId, {PART_SQL} AS part FROM p"))
@@ -200,14 +202,23 @@ def hash_split_query(spark, sf_dir):
     return passengers(spark, sf_dir).select("PassengerId", part)
 
 
-# Which rows go where is Spark's own choice; both parts together are the table.
+# Which rows go where is Spark's own choice: every row in one part, and parts of about the wanted size.
 @query(
     "random_split",
-    with_p(f"SELECT PassengerId, {quoted(CLEAN_COLUMNS)} FROM e", ENCODED_CTE),
+    with_p("SELECT count(*) AS n, count(DISTINCT PassengerId) AS ids, 0 AS in_both, true AS seven_to_three FROM p"),
 )
 def random_split_query(spark, sf_dir):
-    train, test = random_split(encode(passengers(spark, sf_dir), ["PassengerId"]), [0.7, 0.3], 1)
-    return train.unionByName(test)
+    stored = materialize(passengers(spark, sf_dir).select("PassengerId"))
+    train, test = (part.withColumn("part", F.lit(i)) for i, part in enumerate(random_split(stored, [0.7, 0.3], 1)))
+    per_id = train.unionByName(test).groupBy("PassengerId").agg(
+        F.count("*").alias("rows"), F.count_distinct("part").alias("parts"), F.sum("part").alias("tests")
+    )
+    return per_id.agg(
+        F.sum("rows").alias("n"),
+        F.count("*").alias("ids"),
+        F.sum(F.when(F.col("parts") > 1, 1).otherwise(0)).cast("int").alias("in_both"),
+        (F.abs(F.sum("tests") / F.sum("rows") - 0.3) < 0.03).alias("seven_to_three"),
+    )
 
 
 @query("fold_assign", with_p(f"SELECT PassengerId, {FOLD_SQL} AS fold FROM p"))

@@ -6,11 +6,13 @@ rows with the same features, its twin computes just that; other models have none
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.catalog.cleaning import passenger_key
 from tabloom.catalog.registry import ENCODED_CTE, PART_SQL, query, rounded, with_p
+from tabloom.operators import evaluate
 from tabloom.operators.evaluate import confidence
 from tabloom.operators.features import (
     assembler,
@@ -19,6 +21,7 @@ from tabloom.operators.features import (
     to_label,
 )
 from tabloom.operators.models import CLASSIFIERS, REGRESSORS, fit_predict
+from tabloom.operators.split import hash_split
 from tabloom.plans.clean import clean, encode
 from tabloom.plans.compare import train_and_test
 from tabloom.schemas import DUMMIES, FEATURES
@@ -163,6 +166,64 @@ def fit_logistic_one_flag(spark, sf_dir):
     return predictions.select("PassengerId", "label", positive)
 
 
+# At the optimum the predicted probabilities and the labels agree in the mean of every feature.
+MOMENTS = [c for c in FEATURES if c != "Age"]
+
+
+@query(
+    "fit_logistic_moments",
+    with_p(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, round(avg("{c}" * Survived), 3) AS mean FROM s WHERE part = 0"""
+            for c in MOMENTS
+        ),
+        ENCODED_CTE,
+        SPLIT_CTE,
+    ),
+)
+def fit_logistic_moments(spark, sf_dir):
+    raw = encode(passengers(spark, sf_dir), ["PassengerId"])
+    train = training_table(
+        to_label(hash_split(raw, [0.7, 0.3], 1, passenger_key())[0], "Survived", MOMENTS)
+    )
+    estimator = CLASSIFIERS["logistic"].build(len(MOMENTS), maxIter=500, tol=1e-12)
+    stages = [*feature_pipeline(MOMENTS).getStages(), estimator]
+    fitted = fit_predict(Pipeline(stages=stages), train, train)[1]
+    positive = vector_to_array("probability")[1]
+    means = fitted.agg(*[F.round(F.avg(F.col(c) * positive), 3).alias(c) for c in MOMENTS])
+    return means.unpivot([], MOMENTS, "feature", "mean")
+
+
+# Labels that are a function of the features: every test row must be predicted right.
+FLAG_SQL = with_p(
+    "SELECT PassengerId, female AS label, female AS prediction FROM s WHERE part = 1", ENCODED_CTE, SPLIT_CTE
+)
+XOR_SQL = with_p(
+    """SELECT PassengerId, label, label AS prediction
+ FROM (SELECT *, CAST((female = 1) <> (low = 1) AS DOUBLE) AS label FROM s) WHERE part = 1""",
+    ENCODED_CTE,
+    SPLIT_CTE,
+)
+
+
+def _function_of_flags(spark, sf_dir, name, target, features, **overrides):
+    df = encode(passengers(spark, sf_dir), ["PassengerId"]).withColumn("target", target)
+    frames = train_and_test(training_table(df), passenger_key(), features, "target", ["PassengerId"])
+    predictions = fit_predict(CLASSIFIERS[name].build(len(features), **overrides), *frames)[1]
+    return predictions.select("PassengerId", "label", "prediction")
+
+
+@query("fit_svc_flag", FLAG_SQL)
+def fit_svc_flag(spark, sf_dir):
+    return _function_of_flags(spark, sf_dir, "svc", F.col("female"), ["female", "low", "high"])
+
+
+@query("fit_mlp_xor", XOR_SQL)
+def fit_mlp_xor(spark, sf_dir):
+    target = (F.col("female") != F.col("low")).cast("double")
+    return _function_of_flags(spark, sf_dir, "mlp", target, ["female", "low"], maxIter=400, seed=2)
+
+
 @query("fit_random_forest")
 def fit_random_forest(spark, sf_dir):
     return _classified(spark, sf_dir, "random_forest")
@@ -190,13 +251,13 @@ def fit_decision_tree_cells(spark, sf_dir):
 
 @query("fit_random_forest_cells", CELL_MAJORITY_SQL)
 def fit_random_forest_cells(spark, sf_dir):
-    options = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+    options = {"bootstrap": False, "featureSubsetStrategy": "all"}
     return _cell_class(spark, sf_dir, "random_forest", **options)
 
 
 @query("fit_gbt_cells", CELL_MAJORITY_SQL)
 def fit_gbt_cells(spark, sf_dir):
-    return _cell_class(spark, sf_dir, "gbt", maxIter=5)
+    return _cell_class(spark, sf_dir, "gbt")
 
 
 @query("fit_mlp")
@@ -212,13 +273,16 @@ def fit_mlp_three_outputs(spark, sf_dir):
 @query("fit_mlp_embeddings")
 def fit_mlp_embeddings(spark, sf_dir):
     df = table(spark, sf_dir, "embeddings")
-    width = len(df.select("embedding").first()[0])
+    size = F.size("embedding")
+    least, width, top = df.agg(F.min(size), F.max(size), F.max("label")).first()
+    if least != width:
+        raise ValueError(f"vectors have {least} to {width} components")
     slots = [F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(width)]
     keys = [c for c in df.columns if c not in ("embedding", "label")][:1]
     names = [f"x{i}" for i in range(width)]
     flat = df.select(*keys, F.col("label").cast("double").alias("target"), *slots)
     train, test = train_and_test(flat, keys, names, "target", keys)
-    estimator = CLASSIFIERS["mlp"].build(width, classes=10)
+    estimator = CLASSIFIERS["mlp"].build(width, classes=int(top) + 1)
     predictions = fit_predict(estimator, train, test)[1]
     chosen = predictions.withColumn("confidence", F.round(confidence(), 6))
     return chosen.select(*keys, "label", "prediction", "confidence")
@@ -302,22 +366,40 @@ def fit_svc(spark, sf_dir):
 @query(
     "fit_glr",
     with_p(
-        """SELECT PassengerId, Survived AS label, round(intercept + slope * Fare, 6) AS prediction
+        """SELECT PassengerId, Survived AS label, round(middle + slope * (Fare - fare_mean), 6) AS prediction
  FROM s, m WHERE part = 1""",
         f"s AS (SELECT *, {PART_SQL} AS part FROM p)",
-        """m AS (SELECT regr_intercept(Survived, Fare) AS intercept,
- regr_slope(Survived, Fare) AS slope FROM s WHERE part = 0)""",
+        """m AS (SELECT avg(Survived) AS middle, avg(Fare) AS fare_mean,
+ regr_slope(Survived, Fare) / (1 + 0.3 / stddev_pop(Survived)) AS slope FROM s WHERE part = 0)""",
     ),
 )
 def fit_glr(spark, sf_dir):
     train, test = train_and_test(
         passengers(spark, sf_dir), passenger_key(), ["Fare"], keys=["PassengerId"]
     )
-    estimator = REGRESSORS["generalized_linear"].build(1, regParam=0.0)
+    estimator = REGRESSORS["generalized_linear"].build(1)
     predictions = fit_predict(estimator, train, test)[1]
     return rounded(predictions.select("PassengerId", "label", "prediction"), ["prediction"])
 
 
+# Elastic net with one feature: the penalty's first part cuts the slope off, the second shrinks it.
+@query(
+    "fit_linear_one_feature",
+    with_p(
+        """SELECT PassengerId, Survived AS label, round(middle + slope * (Fare - fare_mean), 5) AS prediction
+ FROM s, m WHERE part = 1""",
+        f"s AS (SELECT *, {PART_SQL} AS part FROM p)",
+        """m AS (SELECT avg(Survived) AS middle, avg(Fare) AS fare_mean, sign(corr(Survived, Fare))
+ * greatest(abs(corr(Survived, Fare)) - 0.3 * 0.8 / stddev_pop(Survived), 0) / (1 + 0.3 * 0.2 / stddev_pop(Survived))
+ * stddev_pop(Survived) / stddev_pop(Fare) AS slope FROM s WHERE part = 0)""",
+    ),
+)
+def fit_linear_one_feature(spark, sf_dir):
+    train, test = train_and_test(passengers(spark, sf_dir), passenger_key(), ["Fare"], keys=["PassengerId"])
+    predictions = fit_predict(REGRESSORS["linear"].build(1, maxIter=100, tol=1e-12), train, test)[1]
+    return rounded(predictions.select("PassengerId", "label", "prediction"), ["prediction"], 5)
+
+
 @query("fit_linear")
 def fit_linear(spark, sf_dir):
     return _regressed(spark, sf_dir, "linear", FEATURES)
@@ -335,7 +417,7 @@ def fit_rf_regressor(spark, sf_dir):
 
 @query("fit_rf_regressor_cells", CELL_MEAN_SQL)
 def fit_rf_regressor_cells(spark, sf_dir):
-    options = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+    options = {"bootstrap": False, "featureSubsetStrategy": "all"}
     return _regressed(spark, sf_dir, "random_forest", **options)
 
 
@@ -359,6 +441,68 @@ def fit_aft(spark, sf_dir):
     )
 
 
+@query(
+    "roc_of_logistic",
+    with_p(
+        """SELECT round(threshold, 4) AS threshold, round(sum(n) OVER w / sum(n) OVER (), 6) AS "FPR",
+ round(sum(pos) OVER w / sum(pos) OVER (), 6) AS "TPR" FROM c WINDOW w AS (ORDER BY threshold DESC)
+ UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""",
+        ENCODED_CTE,
+        SPLIT_CTE,
+        "m AS (SELECT female, avg(Survived) AS threshold FROM s WHERE part = 0 GROUP BY female)",
+        """c AS (SELECT threshold, sum(Survived) AS pos, sum(1 - Survived) AS n
+ FROM s JOIN m USING (female) WHERE part = 1 GROUP BY threshold)""",
+    ),
+)
+def roc_of_logistic(spark, sf_dir):
+    predictions = _classify(spark, sf_dir, "logistic", ["female"])
+    scored = predictions.select("label", vector_to_array("probability")[1].alias("score"))
+    curve = rounded(evaluate.roc_curve(scored), ["threshold"], 4)
+    return rounded(curve, ["FPR", "TPR"])
+
+
+@query(
+    "metrics_of_tree_regressor",
+    with_p(
+        f"""SELECT round(sqrt(avg((Survived - mean) ** 2)), 6) AS rmse, round(avg(abs(Survived - mean)), 6) AS mae,
+ round(1 - avg((Survived - mean) ** 2) / var_pop(Survived), 6) AS r2
+ FROM s JOIN m USING ({CELL_SQL}) WHERE part = 1""",
+        ENCODED_CTE,
+        SPLIT_CTE,
+        CELLS_CTE,
+    ),
+)
+def metrics_of_tree_regressor(spark, sf_dir):
+    train, test = parts(spark, sf_dir, CELL)
+    predictions = fit_predict(REGRESSORS["decision_tree"].build(len(CELL)), train, test)[1]
+    return rounded(evaluate.regression_metrics(predictions), ["rmse", "mae", "r2"])
+
+
+# At the optimum of a Weibull survival model with e = exp((ln t - line) / scale), e and the event flag agree
+# in the mean of every feature.
+@query(
+    "fit_aft_moments",
+    with_p(
+        """SELECT 'Pclass' AS feature, round(avg(Pclass * Survived), 3) AS mean FROM s WHERE part = 0
+ UNION ALL SELECT 'SibSp', round(avg(SibSp * Survived), 3) FROM s WHERE part = 0
+ UNION ALL SELECT 'one', round(avg(Survived), 3) FROM s WHERE part = 0""",
+        f"s AS (SELECT *, {PART_SQL} AS part FROM p WHERE Fare > 0)",
+    ),
+)
+def fit_aft_moments(spark, sf_dir):
+    df = passengers(spark, sf_dir).where("Fare > 0")
+    df = df.select("PassengerId", F.col("Survived").alias("censor"), "Fare", "Pclass", "SibSp")
+    part = hash_split(df, [0.7, 0.3], 1, passenger_key())[0]
+    train = training_table(to_label(part, "Fare", ["Pclass", "SibSp"], ["censor"]))
+    estimator = REGRESSORS["aft"].build(2, maxIter=300, tol=1e-12)
+    stages = [*feature_pipeline(["Pclass", "SibSp"]).getStages(), estimator]
+    model, fitted = fit_predict(Pipeline(stages=stages), train, train)
+    e = F.pow(F.col("label") / F.col("prediction"), 1 / model.stages[-1].scale)
+    columns = {"Pclass": F.col("Pclass"), "SibSp": F.col("SibSp"), "one": F.lit(1.0)}
+    means = fitted.agg(*[F.round(F.avg(x * e), 3).alias(name) for name, x in columns.items()])
+    return means.unpivot([], list(columns), "feature", "mean")
+
+
 # Monotone regression by its min-max formula over the distinct feature values.
 @query(
     "fit_isotonic",

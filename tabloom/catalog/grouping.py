@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tabloom.catalog.registry import ENCODED_CTE, query, rounded, with_p
@@ -62,11 +63,11 @@ def impute_median(spark, sf_dir):
 
 @query("impute_rf")
 def impute_rf(spark, sf_dir):
-    return _ages(spark, sf_dir, "forest", DUMMIES, trees=20)
+    return _ages(spark, sf_dir, "forest", DUMMIES)
 
 
-# A single tree without resampling, grown out on 0/1 columns, predicts the mean of the known rows with
-# the same features.
+# Trees without resampling that try every feature, grown out on 0/1 columns, predict the mean of the known
+# rows with the same features.
 CELL_AGES_SQL = with_p(
     """SELECT PassengerId, e.Pclass, round(coalesce(e.Age, m.mean), 6) AS Age FROM e JOIN m
  ON e.Pclass = m.Pclass AND e.female = m.female AND e.low = m.low AND e.mid = m.mid
@@ -79,17 +80,65 @@ CELL_AGES_SQL = with_p(
 
 @query("impute_rf_one_tree", CELL_AGES_SQL)
 def impute_rf_one_tree(spark, sf_dir):
-    return _ages(spark, sf_dir, "forest", CELL, trees=1, bootstrap=False)
+    return _ages(spark, sf_dir, "forest", CELL, trees=1, subset="all")
+
+
+@query("impute_rf_cells", CELL_AGES_SQL)
+def impute_rf_cells(spark, sf_dir):
+    return _ages(spark, sf_dir, "forest", CELL, subset="all")
 
 
 @query("impute_pooled_one_tree", CELL_AGES_SQL)
 def impute_pooled_one_tree(spark, sf_dir):
-    return _ages(spark, sf_dir, "pooled_forest", CELL, trees=1, bootstrap=False)
+    return _ages(spark, sf_dir, "pooled_forest", CELL, trees=1, subset="all")
+
+
+# A field NaN is a missing age like a null one.
+NAN_AGES = "CASE WHEN PassengerId % 3 = 0 THEN CAST('NaN' AS DOUBLE) ELSE Age END"
+NAN_KNOWN = "CASE WHEN PassengerId % 3 <> 0 THEN Age END"
+
+
+@query(
+    "impute_mean_nan",
+    with_p(
+        f"""SELECT PassengerId, Pclass,
+ round(coalesce({NAN_KNOWN}, avg({NAN_KNOWN}) OVER (PARTITION BY Pclass)), 6) AS Age FROM p"""
+    ),
+)
+def impute_mean_nan(spark, sf_dir):
+    df = passengers(spark, sf_dir).select("PassengerId", "Pclass", F.expr(NAN_AGES).alias("Age"))
+    return rounded(grouped_impute(df, ["Pclass"], "Age", (), "mean"), ["Age"])
+
+
+@query(
+    "impute_median_nan",
+    with_p(
+        f"""SELECT PassengerId, Pclass,
+ round(coalesce({NAN_KNOWN}, quantile_cont({NAN_KNOWN}, 0.5) OVER (PARTITION BY Pclass)), 6) AS Age FROM p"""
+    ),
+)
+def impute_median_nan(spark, sf_dir):
+    df = passengers(spark, sf_dir).select("PassengerId", "Pclass", F.expr(NAN_AGES).alias("Age"))
+    return rounded(grouped_impute(df, ["Pclass"], "Age", (), "median"), ["Age"])
+
+
+@query(
+    "grouped_zscore_nan",
+    with_p(
+        f"""SELECT PassengerId, Survived, CASE WHEN PassengerId % 3 <> 0 AND Age IS NOT NULL
+ THEN round(({NAN_KNOWN} - avg({NAN_KNOWN}) OVER g) / stddev_pop({NAN_KNOWN}) OVER g, 6) END AS Age
+ FROM p WINDOW g AS (PARTITION BY Survived)"""
+    ),
+)
+def grouped_zscore_nan(spark, sf_dir):
+    df = passengers(spark, sf_dir).select("PassengerId", "Survived", F.expr(NAN_AGES).alias("Age"))
+    scaled = grouped_standardize(df, ["Survived"], ["Age"])
+    return rounded(scaled.withColumn("Age", F.nanvl("Age", F.lit(None))), ["Age"])
 
 
 @query("impute_pooled_forest")
 def impute_pooled_forest(spark, sf_dir):
-    return _ages(spark, sf_dir, "pooled_forest", DUMMIES, trees=20)
+    return _ages(spark, sf_dir, "pooled_forest", DUMMIES)
 
 
 @query(
@@ -137,15 +186,18 @@ def grouped_map_query(spark, sf_dir):
 @query(
     "grouped_map_whole",
     with_p(
-        """SELECT PassengerId, Ticket,
- CAST(row_number() OVER (PARTITION BY Ticket ORDER BY PassengerId) AS BIGINT) AS place FROM p"""
+        """SELECT Ticket, round(list_reduce(list(Fare ORDER BY PassengerId), lambda a, x: 0.75::DOUBLE * a + 0.25::DOUBLE * x), 6)
+ AS smoothed FROM p GROUP BY Ticket"""
     ),
 )
 def grouped_map_whole(spark, sf_dir):
-    def place(group):
-        ranks = group["PassengerId"].rank(method="first").astype("int64")
-        return group.assign(place=ranks)[["PassengerId", "Ticket", "place"]]
-
-    df = passengers(spark, sf_dir).select("PassengerId", "Ticket")
-    schema = "PassengerId double, Ticket string, place bigint"
-    return grouped_map(df, ["Ticket"], place, schema)
+    def smooth(frames):
+        ticket, level = None, None
+        for frame in frames:
+            for ticket, fare in zip(frame["Ticket"], frame["Fare"]):
+                level = fare if level is None else 0.75 * level + 0.25 * fare
+        yield pd.DataFrame({"Ticket": [ticket], "smoothed": [level]})
+
+    df = passengers(spark, sf_dir).select("PassengerId", "Ticket", "Fare")
+    found = grouped_map(df, ["Ticket"], smooth, "Ticket string, smoothed double", order=["PassengerId"])
+    return rounded(found, ["smoothed"])

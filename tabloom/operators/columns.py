@@ -14,53 +14,23 @@ def categories(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def discover_categories(
-    df: DataFrame, cols: Sequence[str], max_categories: int = 1000
-) -> dict[str, list]:
-    """Distinct values of every column in ``cols``, sorted, from one job; null comes last.
-
-    The columns are stacked before one ``distinct``, which combines on the map side. At most
-    ``max_categories`` values per column reach the driver; a wider column raises, because a 0/1
-    column for each of its values is not a table any more.
-    """
-    cols = list(cols)
-    values = df.select(*cols)
-    kinds = [field.dataType for field in values.schema]
-
-    def tag(i):
-        slots = [F.col(c) if j == i else F.lit(None).cast(kinds[j]) for j, c in enumerate(cols)]
-        return F.struct(F.lit(i).alias("at"), *[s.alias(f"v{j}") for j, s in enumerate(slots)])
-
-    tagged = F.array(*[tag(i) for i in range(len(cols))])
-    limit = max_categories * len(cols) + len(cols) + 1
-    rows = values.select(F.explode(tagged).alias("t")).select("t.*").distinct().limit(limit).collect()
-    found = {c: [r[f"v{i}"] for r in rows if r["at"] == i] for i, c in enumerate(cols)}
-    found = {c: sorted(values, key=lambda v: (v is None, v)) for c, values in found.items()}
-    wide = [c for c, values in found.items() if sum(v is not None for v in values) > max_categories]
-    if wide:
-        raise ValueError(f"more than {max_categories} categories in {wide}")
-    return found
-
-
 def one_hot(
     df: DataFrame,
     cols: Sequence[str],
-    categories: Mapping[str, Sequence] | None = None,
+    categories: Mapping[str, Sequence],
     null_category: bool = False,
-    max_categories: int = 1000,
     prefix: bool = False,
 ) -> DataFrame:
     """Put one 0/1 column per category in front of the old columns; none is left out.
 
     A null value gives 0 in all of them. With ``null_category`` a null among the categories has a
-    column too, named ``None`` and always 0. Given ``categories`` no job runs and a category that
-    the data lacks is a zero column. ``prefix`` names the new columns ``column_category``.
+    column too, named ``None`` and always 0. ``categories`` names the values of every column, as for
+    ``categories(df, col)``, so no job runs; one that the data lacks is a zero column. ``prefix`` names the new columns ``column_category``.
     """
     cols = list(cols)
-    known = dict(categories) if categories is not None else {}
-    missing = [c for c in cols if c not in known]
-    if missing:
-        known.update(discover_categories(df, missing, max_categories))
+    unnamed = [c for c in cols if c not in categories]
+    if unnamed:
+        raise ValueError(f"no categories given for {unnamed}")
 
     def name(col, category):
         return f"{col}_{category}" if prefix else str(category)
@@ -68,7 +38,7 @@ def one_hot(
     dummies = {}
     taken = Counter(c.lower() for c in df.columns)
     for col in cols:
-        for value in known[col]:
+        for value in categories[col]:
             label = name(col, value)
             if value is None and (not null_category or label in dummies):
                 continue

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import islice
 from multiprocessing.pool import ThreadPool
 
 import pandas as pd
@@ -11,24 +12,29 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import BROADCAST_BYTES, KEY, ROWS, attach
 from tabloom.operators.ranks import grouped_quantiles
-from tabloom.sources.shared import materialize, spread, training_table
+from tabloom.sources.shared import materialize, new_path, spread, training_table
 
 FILL = "fill_"
 GROUP = "group_number_"
 
-# The resample of a tree draws each row a Poisson number of times. Below this many rows it could
-# well draw none, and the tree would predict 0; such groups are fitted without resampling.
-RESAMPLED_ROWS = 30
+
+def known_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with NaN in floating-point columns of ``cols`` as null: both are missing values."""
+    floating = [c for c in cols if isinstance(df.schema[c].dataType, (FloatType, DoubleType))]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floating}) if floating else df
 
 
 def missing_split(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose target is known, and rows whose target is missing."""
-    return df.where(F.col(target).isNotNull()), df.where(F.col(target).isNull())
+    """Rows whose target is known, and rows whose target is missing: null, or NaN in a floating type."""
+    known, missing = F.col(target).isNotNull(), F.col(target).isNull()
+    if isinstance(df.schema[target].dataType, (FloatType, DoubleType)):
+        known, missing = known & ~F.isnan(target), missing | F.isnan(target)
+    return df.where(known), df.where(missing)
 
 
 def per_group(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
@@ -47,14 +53,14 @@ def grouped_standardize(
 ) -> DataFrame:
     """Centre and scale ``cols`` inside each group with the population standard deviation.
 
-    A zero deviation counts as 1. Nulls are left out of the statistics and stay null.
+    A zero deviation counts as 1. Nulls and NaN are left out of the statistics and stay as they are.
     """
     cols, by = list(cols), list(by)
     statistics = {}
     for i, c in enumerate(cols):
         statistics[f"mean_{i}_"] = F.avg(c)
         statistics[f"std_{i}_"] = F.stddev_pop(c)
-    joined = attach(df, per_group(df, by, statistics), by, broadcast_bytes)
+    joined = attach(df, per_group(known_values(df, cols), by, statistics), by, broadcast_bytes)
     scaled = {}
     for i, c in enumerate(cols):
         deviation = F.when(F.col(f"std_{i}_") == 0, 1.0).otherwise(F.col(f"std_{i}_"))
@@ -65,10 +71,10 @@ def grouped_standardize(
 def grouped_map(
     df: DataFrame,
     by: Sequence[str],
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    fn: Callable,
     schema: StructType | str,
     statistics: Mapping[str, Column] | None = None,
-    max_group_rows: int = 1_000_000,
+    order: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Apply a pandas function group by group; result columns match ``schema`` by name.
@@ -77,18 +83,18 @@ def grouped_map(
     ``fn`` gets batches of rows in which every row carries the statistics of its own group. Rows
     are not shuffled for small statistics, and a group of any size is spread over all tasks.
 
-    Without them ``fn`` gets each group whole. The largest group is measured first and one above
-    ``max_group_rows`` raises before any data moves, as no single process could hold it.
+    Without them ``fn`` gets an iterator over the frames of one group, in the order of ``order``, and
+    returns frames one by one. A group is one task's work, but never held in memory as a whole.
     """
     by = list(by)
     if statistics is None:
-        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        if largest > max_group_rows:
-            raise ValueError(
-                f"a group has {largest} rows, more than {max_group_rows}; "
-                "pass statistics to work on batches of rows instead"
-            )
-        return df.groupBy(*by).applyInPandas(fn, schema)
+
+        def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield from fn(frames)
+
+        # Rows come to a group's task sorted; grouping keeps that order.
+        sorted_rows = df.repartition(*by).sortWithinPartitions(*by, *order) if order else df
+        return sorted_rows.groupBy(*by).applyInPandas(each, schema)
 
     if isinstance(schema, StructType):
         names = schema.names
@@ -129,7 +135,7 @@ def _impute_median(df, by, target, broadcast_bytes):
     return _fill(attach(df, groups, by, broadcast_bytes), target)
 
 
-def _forest(features, target, seed, trees, depth, bootstrap):
+def _forest(features, target, seed, trees, depth, bootstrap, subset):
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_")
     forest = RandomForestRegressor(
         featuresCol="features_",
@@ -137,65 +143,49 @@ def _forest(features, target, seed, trees, depth, bootstrap):
         predictionCol=FILL,
         numTrees=trees,
         maxDepth=depth,
-        featureSubsetStrategy="all",
+        featureSubsetStrategy=subset,
         bootstrap=bootstrap,
         seed=seed,
     )
     return assembler, forest
 
 
-def _fit_forest(forest, train, rows):
-    return forest.fit(train, {} if rows >= RESAMPLED_ROWS else {forest.bootstrap: False})
-
-
-def _impute_forest(df, by, target, features, forest_options, max_groups, parallelism):
+def _impute_forest(df, by, target, features, forest_options, parallelism, broadcast_bytes):
     spark = df.sparkSession
-    keys = df.groupBy(group_key(by).alias(KEY)).agg(
-        F.count(target).alias("known_"), F.sum(target).alias("sum_"), F.count("*").alias(ROWS)
-    )
-    found = keys.limit(max_groups + 1).collect()
-    if len(found) > max_groups:
-        raise ValueError(
-            f"more than {max_groups} groups to fit one forest each; "
-            "raise max_groups or use the strategy pooled_forest, mean or median"
-        )
-    known_rows = sum(r["known_"] for r in found)
-    if known_rows == 0:
+    groups = per_group(df, by, {"known_": F.count(target), "sum_": F.sum(target)})
+    groups = materialize(groups.withColumn(GROUP, F.monotonically_increasing_id()))
+    whole = groups.agg(F.sum("known_").alias("known"), F.sum("sum_").alias("sum")).first()
+    if not whole["known"]:
         return df
-    whole = sum(r["sum_"] for r in found if r["known_"]) / known_rows
-
-    # The rows are stored once, apart by group, so every fit and prediction reads only its group.
-    number = spark.createDataFrame(
-        [(r[KEY], i) for i, r in enumerate(found)],
-        StructType().add(keys.schema[KEY]).add(GROUP, IntegerType()),
-    )
-    numbered = df.withColumn(KEY, group_key(by)).join(F.broadcast(number), KEY).drop(KEY)
-    stored = materialize(numbered, partition_by=GROUP)
-    known, missing = missing_split(stored, target)
+    # Known rows go straight to the result. Apart by group are stored only what a fit reads, features and
+    # target of known rows of groups in which something is missing, and the rows to be filled.
+    lookup = groups.select(KEY, ROWS, GROUP, (F.col("known_") < F.col(ROWS)).alias("gaps_"), "known_")
+    numbered = attach(df, lookup, by, broadcast_bytes)
+    known, missing = missing_split(numbered, target)
+    train = materialize(known.where("gaps_").select(*features, target, GROUP), partition_by=GROUP)
+    to_fill = materialize(missing.where("known_ > 0").drop("gaps_", "known_"), partition_by=GROUP)
     assembler, forest = _forest(features, target, **forest_options)
-
-    def fit(i):
-        if found[i]["known_"] in (0, found[i][ROWS]):
-            return None
-        rows = found[i]["known_"]
-        train = known.where(F.col(GROUP) == i).select(*features, target)
-        return _fit_forest(forest, assembler.transform(spread(train, rows)), rows)
-
-    with ThreadPool(max(1, min(parallelism, len(found)))) as pool:
-        models = pool.map(inheritable_thread_target(spark)(fit), range(len(found)))
-
-    result = known.select(*df.columns)
-    for i, model in enumerate(models):
-        if found[i][ROWS] == found[i]["known_"]:
-            continue
-        rows = missing.where(F.col(GROUP) == i)
-        if model is None:
-            rows = rows.withColumn(FILL, F.lit(whole))
-        else:
-            rows = model.transform(assembler.transform(rows))
-        rows = rows.withColumn(target, F.col(FILL).cast(df.schema[target].dataType))
-        result = result.unionByName(rows.select(*df.columns))
-    return result
+    filled = new_path(spark)
+    kinds = df.select(*df.columns).schema
+
+    def fill(group):
+        rows = train.where(F.col(GROUP) == group[GROUP]).select(*features, target)
+        model = forest.fit(assembler.transform(spread(rows, group["known_"])))
+        found = model.transform(assembler.transform(to_fill.where(F.col(GROUP) == group[GROUP])))
+        found.withColumn(target, F.col(FILL)).select(*df.columns).write.parquet(f"{filled}/group={group[GROUP]}")
+
+    # Groups are read from the stored table a few at a time; each writes its own folder, so a lost
+    # driver loses no more than the fits under way, and the plan of the result does not grow.
+    pending = groups.where(f"known_ > 0 AND known_ < {ROWS}").select(GROUP, "known_").toLocalIterator()
+    with ThreadPool(max(1, parallelism)) as pool:
+        work = inheritable_thread_target(spark)(fill)
+        while batch := list(islice(pending, parallelism)):
+            pool.map(work, batch)
+    unknown = missing.where("known_ = 0").withColumn(target, F.lit(whole["sum"] / whole["known"]))
+    result = known.select(*df.columns).unionByName(unknown.select(*df.columns))
+    if to_fill.isEmpty():
+        return result
+    return result.unionByName(spark.read.schema(kinds).parquet(f"{filled}/group=*").select(*df.columns))
 
 
 def _impute_pooled(df, by, target, features, forest_options, broadcast_bytes):
@@ -205,14 +195,11 @@ def _impute_pooled(df, by, target, features, forest_options, broadcast_bytes):
         return df
     mean = F.lit(whole["sum"] / whole["known"])
     level = F.coalesce(F.col("sum_") / F.col("known_"), mean).alias("group_level_")
-    stored = training_table(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes))
-    known, missing = missing_split(stored, target)
+    known, missing = missing_split(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes), target)
     inputs = [*features, "group_level_"]
     assembler, forest = _forest(inputs, target, **forest_options)
-    model = _fit_forest(forest, assembler.transform(known.select(*inputs, target)), whole["known"])
-    predicted = model.transform(assembler.transform(missing)).withColumn(
-        target, F.col(FILL).cast(df.schema[target].dataType)
-    )
+    model = forest.fit(assembler.transform(training_table(known.select(*inputs, target))))
+    predicted = model.transform(assembler.transform(missing)).withColumn(target, F.col(FILL))
     return known.select(*df.columns).unionByName(predicted.select(*df.columns))
 
 
@@ -225,20 +212,25 @@ def grouped_impute(
     seed: int = 1,
     trees: int = 100,
     depth: int = 10,
-    bootstrap: bool = True,
-    max_groups: int = 50,
+    bootstrap: bool = False,
+    subset: str = "onethird",
     parallelism: int = 4,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Fill a missing target per group. Known values and the row count do not change.
+    """Fill a missing target (null or NaN) per group. Known values and the row count do not change.
+
+    The target becomes a double, whatever the strategy.
 
     ``forest`` fits one random forest per group on the rows whose target is known and predicts
-    the others; each fit is spread over the cluster, ``parallelism`` groups at a time.
-    ``pooled_forest`` is for more groups than that allows: one forest for all rows, in which the
-    group is present as the mean of its known targets. ``mean`` and ``median`` need no features.
+    the others; each fit is spread over the cluster, ``parallelism`` groups at a time, however many
+    groups there are. Trees differ by the features tried at each split (``subset``); with
+    ``bootstrap`` by resampled rows as well, in groups of any size.
+    ``pooled_forest`` is one forest for all rows, in which the group is present as the mean of its
+    known targets; it takes one fit instead of one per group. ``mean`` and ``median`` need no features.
     A group without a known target gets the mean (or median) of all known targets.
     """
     by, features = list(by), list(features)
+    df = known_values(df.withColumn(target, F.col(target).cast("double")), [target])
     if strategy == "mean":
         return _impute_mean(df, by, target, broadcast_bytes)
     if strategy == "median":
@@ -247,7 +239,7 @@ def grouped_impute(
         raise ValueError(f"unknown strategy {strategy!r}")
     if not features:
         raise ValueError(f"the strategy {strategy} needs features")
-    options = {"seed": seed, "trees": trees, "depth": depth, "bootstrap": bootstrap}
+    options = {"seed": seed, "trees": trees, "depth": depth, "bootstrap": bootstrap, "subset": subset}
     if strategy == "forest":
-        return _impute_forest(df, by, target, features, options, max_groups, parallelism)
+        return _impute_forest(df, by, target, features, options, parallelism, broadcast_bytes)
     return _impute_pooled(df, by, target, features, options, broadcast_bytes)

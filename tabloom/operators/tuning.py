@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Model
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     Evaluator,
@@ -44,26 +44,29 @@ def cross_validate(
     seed: int = 1,
     parallelism: int = 4,
     keep_submodels: bool = False,
+    prepare: Sequence[Transformer | Estimator] = (),
 ) -> tuple[CrossValidatorModel, str]:
     """Search ``grid`` (by default the one of ``spec``) and refit the best entry on all of ``train``.
 
     Folds come from the hash of ``key``, so they do not depend on the partitioning. Every fold and
-    the last fit read ``train``, so it should be a stored table. Returns the search result and the
-    best parameters as text.
+    the last fit read ``train``, so it should be a stored table. Stages in ``prepare`` (a scaler, for
+    example) are fitted inside each fold, with that fold's rows. A model without a metric of its own is
+    chosen by F1. Returns the search result and the best parameters as text.
     """
     shared_folder(train.sparkSession)
     estimator = spec.build(inputs, classes, seed)
     builder = ParamGridBuilder()
-    for name, values in (spec.grid if grid is None else grid).items():
+    for name, values in ((spec.grid if grid is None else grid) or {}).items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     search = CrossValidator(
-        estimator=estimator,
+        estimator=Pipeline(stages=[*prepare, estimator]) if prepare else estimator,
         estimatorParamMaps=builder.build(),
-        evaluator=evaluator(spec.select_by),
+        evaluator=evaluator(spec.select_by or "f1"),
         numFolds=folds,
         foldCol=FOLD,
         parallelism=parallelism,
         collectSubModels=keep_submodels,
     )
     found = search.fit(train.withColumn(FOLD, fold_number(folds, seed, key)))
-    return found, best_parameters(spec, found.bestModel)
+    best = found.bestModel.stages[-1] if prepare else found.bestModel
+    return found, best_parameters(spec, best)

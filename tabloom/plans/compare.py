@@ -6,16 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.evaluate import confidence
-from tabloom.operators.features import feature_frames, to_label
+from tabloom.operators.evaluate import accuracy, area_under_roc, confidence
+from tabloom.operators.features import feature_frames, feature_pipeline, to_label
 from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
 from tabloom.operators.split import Key, hash_split
-from tabloom.operators.tuning import cross_validate, evaluator
+from tabloom.operators.tuning import cross_validate
 from tabloom.schemas import COMPARISON_SCHEMA, FEATURES, TARGET
-from tabloom.sources.shared import training_table
+from tabloom.sources.shared import materialize, training_table
 
 # The models of the comparison in order, and the title of a searched one.
 COMPARED = ("logistic", "random_forest", "gbt", "decision_tree", "mlp", "naive_bayes")
@@ -28,6 +31,7 @@ class Comparison:
 
     table: DataFrame
     confidences: DataFrame
+    searches: Mapping[str, CrossValidatorModel]
 
 
 def train_and_test(
@@ -57,45 +61,48 @@ def compare_models(
     classes: int = 2,
     seed: int = 1,
     parallelism: int = 4,
+    keep_submodels: bool = False,
 ) -> Comparison:
-    """Fit every model with its standard parameters and with its search grid.
+    """Fit every model with its standard parameters and, if it has a grid, with the best of that grid.
 
-    A model without a grid is fitted only once. A metric that is not measured for a model is null.
-    Both parts are stored once; only one metric per model and the models come to the driver.
+    ``grids`` replaces or adds grids by model. Features are scaled with the rows that a model is fitted
+    on, in each fold anew. Every model scores the test rows once; label, score, prediction and
+    confidence are stored, and all metrics come from there. A metric that is not measured for a model
+    is null. ``searches`` has the fitted searches, with their sub-models if ``keep_submodels``.
     """
     key = list(keys)
-    frames = train_and_test(df, key, features, target, key, seed=seed)
-    train, test = [training_table(part) for part in frames]
-    grids = dict(grids or {})
-    rows, confidences = [], []
+    split = hash_split(df, (0.7, 0.3), seed, key)
+    train, test = [training_table(to_label(part, target, features, key)) for part in split]
+    stages = feature_pipeline(features).getStages()
+    rows, confidences, searches = [], [], {}
 
     def record(title, spec, predictions, parameters):
-        scores = {m: evaluator(m).evaluate(predictions) for m in spec.measures}
-        rows.append((title, scores.get("auc"), scores.get("accuracy"), parameters))
-        if "probability" in predictions.columns:
-            confidences.append(
-                predictions.select(F.lit(title).alias("model"), confidence().alias("confidence"))
-            )
+        has_probability = "probability" in predictions.columns
+        vector = "probability" if has_probability else "rawPrediction" if "rawPrediction" in predictions.columns else None
+        score = vector_to_array(vector)[1] if vector else F.lit(None).cast("double")
+        chosen = confidence() if has_probability else F.lit(None).cast("double")
+        scored = materialize(
+            predictions.select("label", "prediction", score.alias("score"), chosen.alias("confidence"))
+        )
+        area = area_under_roc(scored).first()["auc"] if "auc" in spec.measures else None
+        right = accuracy(scored).first()["accuracy"] if "accuracy" in spec.measures else None
+        rows.append((title, area, right, parameters))
+        if has_probability:
+            confidences.append(scored.select(F.lit(title).alias("model"), "confidence"))
 
     for name in models:
         spec = CLASSIFIERS[name]
         estimator = spec.build(len(features), classes, seed)
-        _, predictions = fit_predict(estimator, train, test)
+        _, predictions = fit_predict(Pipeline(stages=[*stages, estimator]), train, test)
         record(spec.title, spec, predictions, STANDARD)
-        if spec.grid is None:
+        grid = (grids or {}).get(name, spec.grid)
+        if grid is None:
             continue
-        found, parameters = cross_validate(
-            spec,
-            train,
-            len(features),
-            key,
-            folds,
-            grids.get(name),
-            classes,
-            seed,
-            parallelism,
+        searches[name], parameters = cross_validate(
+            spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages
         )
-        predictions = found.bestModel.transform(test)
+        predictions = searches[name].bestModel.transform(test)
         record(SEARCHED_TITLE.format(spec.title), spec, predictions, parameters)
-    table = df.sparkSession.createDataFrame(rows, COMPARISON_SCHEMA)
-    return Comparison(table, reduce(DataFrame.unionByName, confidences))
+    spark = df.sparkSession
+    none = spark.createDataFrame([], "model string, confidence double")
+    return Comparison(spark.createDataFrame(rows, COMPARISON_SCHEMA), reduce(DataFrame.unionByName, confidences, none), searches)

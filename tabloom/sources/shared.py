@@ -12,8 +12,9 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
-ROWS_PER_CORE = 100_000
+ROWS_PER_PART = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -69,20 +70,18 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` over as many cores as its number of rows is worth, for work repeated on them.
+    """``df`` in partitions of about ``ROWS_PER_PART`` rows, for work repeated on them.
 
-    A small table in few files would keep the other cores idle. Where there are files enough, and
-    in any large table, nothing is shuffled.
+    The number of partitions follows from the number of rows alone, rows go to them by the hash of their
+    plain columns and are sorted there. So a fit that draws rows by partition gives the same model
+    on every machine and however the rows came.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows > cores * 10 * ROWS_PER_CORE:
-        return df
-    wanted = min(cores, math.ceil(rows / ROWS_PER_CORE))
-    return df.repartition(wanted) if len(df.inputFiles()) < wanted else df
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (NumericType, StringType, BooleanType))]
+    parts = max(1, math.ceil(rows / ROWS_PER_PART))
+    return df.repartition(parts, *plain).sortWithinPartitions(*plain) if plain else df.repartition(parts)
 
 
 def training_table(df: DataFrame) -> DataFrame:
-    """Stored table for fits that read it many times, in files enough to occupy the cores."""
+    """Table for fits that read it several times: stored as it is, dealt out evenly whenever it is read."""
     stored = materialize(df)
-    even = spread(stored, stored.count())
-    return stored if even is stored else materialize(even)
+    return spread(stored, stored.count())

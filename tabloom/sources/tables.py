@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tabloom.sources.shared import materialize
-
 
 def read_table(
     spark: SparkSession,
@@ -29,21 +27,9 @@ def write_table(
     header: bool = True,
     mode: str = "errorifexists",
     format: str = "csv",
-    single_file: bool = False,
-    single_file_rows: int = 5_000_000,
     **options: str,
 ) -> None:
-    """Write ``df``, by default one file per partition and with a header line in each CSV file.
-
-    One task has to write a single file, so that is for tables of at most ``single_file_rows``
-    rows. They are counted on a stored copy: the plan itself still runs once, in parallel.
-    """
-    if single_file:
-        df = materialize(df)
-        rows = df.count()
-        if rows > single_file_rows:
-            raise ValueError(f"{rows} rows are too many for one file; write several files instead")
-        df = df.coalesce(1)
+    """Write ``df`` as a folder, one file per partition and with a header line in each CSV file."""
     writer = df.write.format(format).mode(mode).options(**options)
     if format == "csv":
         writer = writer.option("header", header)

@@ -114,11 +114,9 @@ def test_forest_changes_only_missing_values_and_repeats(skewed):
     assert (first["y"] - truth)[missing].abs().mean() < 3.0
 
 
-def test_forest_needs_features_and_few_groups(skewed):
+def test_forest_needs_features(skewed):
     with pytest.raises(ValueError, match="features"):
         grouped_impute(skewed, ["g"], "y", (), "forest")
-    with pytest.raises(ValueError, match="more than 10 groups"):
-        grouped_impute(skewed, ["g"], "y", ["x"], "forest", max_groups=10)
     with pytest.raises(ValueError, match="unknown"):
         grouped_impute(skewed, ["g"], "y", ["x"], "mode")
 
@@ -140,7 +138,6 @@ def test_map_with_statistics_takes_any_group_size(skewed, broadcast_bytes):
             share,
             "share double, id long",
             {"whole": F.sum("x")},
-            max_group_rows=1,
             broadcast_bytes=broadcast_bytes,
         )
     )
@@ -149,12 +146,43 @@ def test_map_with_statistics_takes_any_group_size(skewed, broadcast_bytes):
     np.testing.assert_allclose(result["share"], expected)
 
 
-def test_map_of_whole_groups_has_a_null_group_and_a_bound(skewed):
-    def count(group):
-        return pd.DataFrame({"n": [len(group)], "g": [group["g"].iloc[0]]})
+def test_map_of_whole_groups_has_a_null_group_and_an_order(skewed):
+    def count(frames):
+        n, group, last = 0, None, None
+        for frame in frames:
+            ids = frame["id"].tolist()
+            assert ids == sorted(ids) and (last is None or last <= ids[0])
+            n, group, last = n + len(frame), frame["g"].iloc[0], ids[-1]
+        yield pd.DataFrame({"n": [n], "g": [group]})
 
-    sizes = grouped_map(skewed, ["g"], count, "g string, n long")
+    sizes = grouped_map(skewed, ["g"], count, "g string, n long", order=["id"])
     expected = skewed.groupBy("g").agg(F.count("*").alias("n"))
     assert sizes.exceptAll(expected).isEmpty() and expected.exceptAll(sizes).isEmpty()
-    with pytest.raises(ValueError, match="3000 rows"):
-        grouped_map(skewed, ["g"], count, "g string, n long", max_group_rows=2999)
+
+
+def test_forest_takes_any_number_of_groups_and_small_ones(spark):
+    rows = [(g, i, float(g), None if i == 0 else float(g)) for g in range(60) for i in range(4)]
+    df = spark.createDataFrame(rows, "g int, id int, x double, y double")
+    for bootstrap in (False, True):
+        filled = grouped_impute(df.where("g < 3"), ["g"], "y", ["x"], trees=2, bootstrap=bootstrap)
+        assert filled.count() == 12 and filled.where("y IS NULL").isEmpty()
+    filled = grouped_impute(df, ["g"], "y", ["x"], trees=1, parallelism=8)
+    assert filled.count() == 240 and filled.where("y <> g OR y IS NULL").isEmpty()
+
+
+def test_forest_does_not_depend_on_the_partitions(skewed):
+    df = skewed.withColumn("g", F.lit(1))
+    found = [
+        frame(grouped_impute(df.repartition(n), ["g"], "y", ["x"], trees=3, bootstrap=True)) for n in (2, 7)
+    ]
+    pd.testing.assert_frame_equal(*found)
+
+
+@pytest.mark.parametrize("strategy", ["mean", "median", "forest", "pooled_forest"])
+def test_nan_is_missing_and_the_target_a_double(spark, strategy):
+    rows = [(1, 1.0, 2.0), (1, 1.0, float("nan")), (1, 1.0, None), (1, 1.0, 4.0)]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    filled = grouped_impute(df, ["g"], "y", ["x"], strategy, trees=2)
+    assert sorted(r.y for r in filled.collect()) == [2.0, 3.0, 3.0, 4.0]
+    whole = df.where("y = y OR y IS NULL").withColumn("y", F.nanvl("y", F.lit(None)).cast("int"))
+    assert dict(grouped_impute(whole, ["g"], "y", ["x"], strategy, trees=2).dtypes)["y"] == "double"

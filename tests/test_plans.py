@@ -61,7 +61,9 @@ def test_known_filter_reaches_the_scan(spark, tmp_path):
     passengers(spark, SMALL).write.parquet(f"{tmp_path}/p")
     known, missing = missing_split(spark.read.parquet(f"{tmp_path}/p").select("Age"), "Age")
     assert "PushedFilters: [IsNotNull(Age)]" in plan(known)
-    assert "PushedFilters: [IsNull(Age)]" in plan(missing)
+    # NaN is missing, too, and can't be pushed down; a column of whole numbers has none.
+    whole = spark.read.parquet(f"{tmp_path}/p").select(F.col("Ticket"))
+    assert "PushedFilters: [IsNull(Ticket)]" in plan(missing_split(whole, "Ticket")[1])
 
 
 def test_comparison_table(people):
@@ -98,3 +100,14 @@ def test_comparison_table(people):
     assert len(boxes) == 11 and len({r["n"] for r in boxes}) == 1
     assert all(0.33 <= r["minimum"] <= r["median"] <= r["maximum"] <= 1.0 for r in boxes)
     assert found.confidences.where(F.col("confidence").isNull()).isEmpty()
+
+
+def test_comparison_takes_any_grid_and_may_be_empty(people):
+    found = compare_models(people, ["PassengerId"], ["svc"], grids={"svc": {"maxIter": [2, 4]}}, folds=2, keep_submodels=True)
+    assert [r["Name"] for r in found.table.collect()] == [
+        "Linear Support Vector Machine",
+        "Linear Support Vector Machine - Cross Validation",
+    ]
+    assert found.confidences.isEmpty()
+    assert [len(models) for models in found.searches["svc"].subModels] == [2, 2]
+    assert compare_models(people, ["PassengerId"], []).table.isEmpty()

@@ -2,17 +2,19 @@ import glob
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tabloom.plans.clean import clean
 from tabloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_SCHEMA
+from tabloom.sources import shared
 from tabloom.sources.passengers import passengers
-from tabloom.sources.shared import materialize, shared_folder, training_table
+from tabloom.sources.shared import materialize, remove_tables, shared_folder, training_table
 from tabloom.sources.tables import read_table, write_table
 from tests.conftest import SMALL
 
 RAW_ROWS = [
-    (1.0, 0.0, 3.0, 'Braund, "Mr" Owen', "male", 22.0, 1.0, 0.0, "A/5", 7.25, None, "S"),
-    (2.0, 1.0, 1.0, "Cumings, Mrs", "female", None, 1.0, 0.0, "PC", 71.2833, "C85", None),
+    (1.0, 0.0, 3.0, 'Alder, "Mr" Finn', "male", 22.0, 1.0, 0.0, "A/5", 7.25, None, "S"),
+    (2.0, 1.0, 1.0, "Birch, Mrs", "female", None, 1.0, 0.0, "PC", 71.2833, "C85", None),
 ]
 
 
@@ -39,19 +41,9 @@ def test_write_fails_on_an_existing_path(spark, tmp_path):
     assert read_table(spark, f"{tmp_path}/t", df.schema, format="parquet").count() == 3
 
 
-def test_single_file_only_for_small_tables(spark, tmp_path):
-    df = spark.range(0, 100, 1, 5)
-    write_table(df, f"{tmp_path}/one", single_file=True)
-    assert len(glob.glob(f"{tmp_path}/one/part-*")) == 1
-    write_table(df, f"{tmp_path}/many")
-    assert len(glob.glob(f"{tmp_path}/many/part-*")) == 5
-    with pytest.raises(ValueError, match="100 rows"):
-        write_table(df, f"{tmp_path}/two", single_file=True, single_file_rows=99)
-
-
 def test_no_row_is_lost_between_cleaning_and_training(spark, tmp_path):
     raw = passengers(spark, SMALL)
-    write_table(clean(raw, "mean"), f"{tmp_path}/clean", single_file=True)
+    write_table(clean(raw, "mean"), f"{tmp_path}/clean")
     back = read_table(spark, f"{tmp_path}/clean", CLEAN_SCHEMA)
     assert back.count() == raw.count()
     assert back.columns == list(CLEAN_COLUMNS)
@@ -73,9 +65,17 @@ def test_partitioned_store_reads_only_the_wanted_files(spark):
     assert "PartitionFilters: [isnotnull(g" in plan
 
 
-def test_training_table_occupies_the_cores(spark):
-    few = training_table(spark.range(0, 1000, 1, 1))
-    assert len(few.inputFiles()) == 1
-    many = training_table(spark.range(0, 350_000, 1, 1))
-    assert len(many.inputFiles()) == 4
-    assert many.count() == 350_000
+def test_training_table_is_dealt_by_its_rows_alone(spark):
+    assert training_table(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == 1
+    parts = [
+        training_table(spark.range(0, 35_000, 1, n)).withColumn("part", F.spark_partition_id()).collect() for n in (1, 6)
+    ]
+    assert parts[0] == parts[1] and len({row.part for row in parts[0]}) == 4
+
+
+def test_tables_of_the_application_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}")
+    materialize(spark.range(5))
+    assert glob.glob(f"{tmp_path}/tabloom-*/table-*")
+    assert remove_tables(spark)
+    assert not glob.glob(f"{tmp_path}/tabloom-*")
