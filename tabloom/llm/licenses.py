@@ -115,6 +115,8 @@ TEMPERATURES = [0.25 * 1.25**step for step in range(16)]
 LEAST = 0.5
 #: Least share of a paragraph's word 3-grams that must stand in a notice of the predicted family.
 CONFIRMED = 0.5
+#: So many of them, or else all, so that a chance phrase in a short paragraph confirms nothing.
+SHARED = 3
 
 
 def _words(text: str) -> list[str]:
@@ -227,8 +229,10 @@ def classify(candidates: DataFrame, classifier: Classifier, least: float = LEAST
         F.broadcast(classifier.reference.withColumnRenamed("family", "_l_best")), "_l_best", "left"
     )
     shared = F.size(F.array_intersect("_l_grams", "grams"))
-    match = F.coalesce(shared / F.greatest(F.size(F.array_distinct("_l_grams")), F.lit(1)), F.lit(0.0))
-    known = (F.col("_l_best") != UNKNOWN) & (F.col("probability") >= least) & (match >= confirmed)
+    every = F.greatest(F.size(F.array_distinct("_l_grams")), F.lit(1))
+    match = F.coalesce(shared / every, F.lit(0.0))
+    enough = (match >= confirmed) & (shared >= F.least(every, F.lit(SHARED)))
+    known = (F.col("_l_best") != UNKNOWN) & (F.col("probability") >= least) & F.coalesce(enough, F.lit(False))
     return joined.withColumns({"match": match, "family": F.when(known, F.col("_l_best")).otherwise(UNKNOWN)}).drop(
         "_l_best", "_l_grams", "grams"
     )
