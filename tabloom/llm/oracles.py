@@ -38,6 +38,55 @@ SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines,
 FROM documents d LEFT JOIN cut c USING (doc_id)
 """
 
+OP6_SQL = r"""
+WITH d AS (
+ SELECT doc_id, lang, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM d),
+windows AS (
+ SELECT doc_id, pos, [word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o] AS five,
+  lead(word, 4) OVER o IS NOT NULL AS full_window FROM places WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+twice AS (
+ SELECT doc_id, pos FROM windows WHERE full_window QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1),
+covered AS (SELECT doc_id, count(DISTINCT pos + k) AS n_repeat_words FROM twice, range(5) r(k) GROUP BY doc_id),
+lines AS (
+ SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+ FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+ WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+ SELECT d.doc_id, d.lang, t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
+measured AS (
+ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  [n_symbols / greatest(n_words, 1), n_capitals / greatest(word_chars, 1), n_dup_lines / greatest(n_lines, 1),
+   n_repeat_words / greatest(n_words, 1)] AS measures FROM m),
+good AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+holdout AS (
+ SELECT lang, t, max(good) AS good, any_value(measures) AS measures
+ FROM measured JOIN good USING (doc_id) GROUP BY lang, t),
+cutoffs AS (SELECT CAST(j AS INTEGER) AS pos, 4.0::DOUBLE * power(0.8::DOUBLE, j) AS cutoff FROM range(28) r(j)),
+counts AS (
+ SELECT lang, rule, pos, cutoff, count(*) FILTER (good = 1) AS n,
+  count(*) FILTER (good = 1 AND measures[rule] > cutoff) AS k, count(*) FILTER (good <> 1 AND measures[rule] > cutoff) AS bad
+ FROM holdout, (SELECT unnest([1, 2, 3, 4]) AS rule), cutoffs GROUP BY ALL),
+tested AS (
+ SELECT *, (SELECT sum(exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - lgamma(n - i + 1)
+   + i * ln(0.005) + (n - i) * ln(0.995)))
+  FROM unnest(range(0, CASE WHEN k < n * 0.005 THEN k + 1 ELSE 0 END)) u(i)) AS cdf FROM counts),
+chosen AS (
+ SELECT lang, rule, arg_min(cutoff, -bad * 100 + pos) AS cutoff FROM tested
+ WHERE k < n * 0.005 AND cdf <= 0.05 / (4 * (SELECT count(DISTINCT coalesce(lang, '?')) FROM holdout)) GROUP BY lang, rule),
+failed AS (
+ SELECT DISTINCT doc_id FROM measured JOIN chosen ON measured.lang IS NOT DISTINCT FROM chosen.lang
+ WHERE measures[rule] > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept
+FROM measured
+"""
+
 # All pairs.
 OP10_SQL = """
 WITH RECURSIVE good AS (

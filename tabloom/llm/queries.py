@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
-from tabloom.llm.oracles import OP7_SQL, OP10_SQL
+from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -123,4 +123,4 @@ QUERIES = {
     "op10_rotation_codes": op10_rotation_codes,
 }
 
-ORACLES = {"op7_log_templates": OP7_SQL, "op10_rotation_codes": OP10_SQL}
+ORACLES = {"op6_risk_controlled_rules": OP6_SQL, "op7_log_templates": OP7_SQL, "op10_rotation_codes": OP10_SQL}
