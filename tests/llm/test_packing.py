@@ -25,6 +25,23 @@ def test_encoder_equals_the_library():
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [exact(t)[:-1] for t in texts]
 
 
+def test_long_runs_of_blanks_inside_a_text(spark):
+    texts = [f"a word{run}and {prose(i, 20)}" for i, run in enumerate((" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000))]
+    pieces = packing.pack(documents(spark, [*enumerate(texts), (9, "short")]), PATH).collect()
+    for doc, text in [*enumerate(texts), (9, "short")]:
+        own = sorted((p for p in pieces if p.doc_id == doc), key=lambda p: p.start)
+        assert np.frombuffer(b"".join(p.ids for p in own), "<u4").tolist() == exact(text)
+
+
+def test_the_compared_text_is_not_the_shortest_one():
+    encoder = packing.ByteEncoder(PATH)
+    library, seen = encoder.by_library, []
+    encoder.by_library = lambda text: seen.append(text) or library(text)
+    for i in range(20):
+        encoder.encode(["", *[prose(100 * i + j, 30 + j) for j in range(10)]])
+    assert len({len(text.split()) for text in seen}) > 3
+
+
 def check_sequences(pieces, window):
     sequences = defaultdict(list)
     for p in pieces:
