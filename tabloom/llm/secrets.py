@@ -4,7 +4,7 @@ Candidates are found by patterns, with their places in code points. Their values
 whole corpus by distinct repositories (documents) and owners (sources). A value that many owners have is
 a widely copied example; one that only few have and that looks random is a live-looking credential.
 Candidates of the base kinds are always reported; those of further, weaker kinds are added only if their
-value is owner-specific and looks live.
+value is owner-specific and looks live. A private key's span is its whole block, its value the base64 body alone.
 
 The rows with candidates, a small part, go through the counting; texts are read once and never shuffled.
 Values are counted as hashes, with map-side sums, so a value on a third of all rows is one row per task.
@@ -32,14 +32,27 @@ HEX = r"[0-9a-f]{24,}+"
 LEAST_ASSIGNED = 6
 BASE = ("assign", "access", "hex")
 
+# A private key in PEM form, up to its END line; if that is missing, up to the end of its base64 body.
+# Repeated groups are possessive, which Java runs without recursion, so that keys and texts may be of any length.
+PEM_NAME = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+PEM_GAP = r"""(?:[\s"'+,>#*]|\\[nr])"""
+PEM_FIELD = r"[A-Za-z][A-Za-z-]*+:\x20[^\r\n\\]*+"
+PEM = (
+    rf"-----BEGIN {PEM_NAME}(?:"
+    rf"(?:[^-]++|-(?!----))*+-----END {PEM_NAME}"
+    rf"|(?:{PEM_GAP}*+{PEM_FIELD})*+(?:{PEM_GAP}*+[A-Za-z0-9+/]{{20,}}+={{0,2}})++"
+    rf"(?:(?:\r?\n|\\n)[A-Za-z0-9+/]++={{0,2}}(?=[\r\n\\\"']|$))?+)"
+)
+#: What is not the key itself in a match of PEM: its first and last line, fields, and what is not base64.
+PEM_AROUND = rf"-----(?:BEGIN|END) {PEM_NAME}|(?<![A-Za-z0-9+/=-]){PEM_FIELD}|\\[nr]|[^A-Za-z0-9+/=]"
 # Publicly documented forms of tokens and keys.
 FURTHER = {
     "github": r"gh[pousr]_[A-Za-z0-9]{36,}",
     "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "pem": r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----",
+    "pem": PEM,
     "bearer": r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{20,}",
-    "urlpass": r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{6,128}@",
+    "urlpass": r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]++:[^\s:/@]{6,}+@",
 }
 #: A part of every match of the pattern, for skipping texts quickly; letters in lower case.
 HINTS = {
@@ -49,7 +62,7 @@ HINTS = {
     "github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
     "slack": ("xox",),
     "jwt": ("eyj",),
-    "pem": ("private key-----",),
+    "pem": ("private key",),
     "bearer": ("bearer",),
     "urlpass": ("://",),
 }
@@ -102,6 +115,11 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
                     F.transform(spans, lambda x: x.withField("value", value(x))),
                     lambda x: F.length(x["value"]) >= LEAST_ASSIGNED,
                 )
+            if kind == "pem":
+                body_of = lambda x: F.regexp_replace(x["value"], PEM_AROUND, "")
+                spans = F.filter(
+                    F.transform(spans, lambda x: x.withField("value", body_of(x))), lambda x: F.length(x["value"]) > 0
+                )
             hint = HINTS[kind]
             if hint:
                 seen = F.lit(False)
