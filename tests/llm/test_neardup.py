@@ -46,6 +46,23 @@ def test_links_are_sensitive_to_order(spark):
     assert {row.component_id for row in found} == {1, 2}
 
 
+def test_recall_of_candidates_by_edit_similarity():
+    sketcher = neardup.Sketcher(neardup.ENTRIES, neardup.WORDS)
+    for similarity, least in ((0.9, 0.99), (0.85, 0.99), (0.82, 0.97), (0.8, 0.95)):
+        found = 0
+        for seed in range(200):
+            draw = random.Random(seed)
+            words = [f"w{i}" for i in range(300)]
+            draw.shuffle(words)
+            other = list(words)
+            for at in draw.sample(range(300), round(300 * (1 - similarity))):
+                other[at] = f"x{at}"
+            if seed < 3:
+                assert distance(words, other) <= 300 * (1 - similarity) + 1e-9
+            found += bool(set(sketcher.sketch(" ".join(words))) & set(sketcher.sketch(" ".join(other))))
+        assert found >= least * 200
+
+
 def test_query_against_brute_force(spark):
     """Pairs with a shingle similarity of 0.8 share a class; classes hang together by edit similarity."""
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{CHECKED}/documents.parquet").select("doc_id", "text").collect()}
