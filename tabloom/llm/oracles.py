@@ -103,3 +103,40 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(s.b, e.vec_
  e.vec_id = least(e.vec_id, coalesce(s.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN smallest s ON s.a = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
 """
+
+# Every entry compared, in integers. ``assign`` and ``move`` are the two halves of a round.
+_OP11_ASSIGN = """
+near{i} AS (
+ SELECT vec_id, part, arg_min({{'entry': entry, 'd': d}}, d * 64 + entry) AS best FROM (
+  SELECT p.vec_id, p.part, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM pieces p JOIN book{i} b USING (part)) GROUP BY ALL)"""
+_OP11_MOVE = """
+sums{i} AS (
+ SELECT part, entry, pos, sum(v)::BIGINT AS s, count(*) AS n FROM (
+  SELECT p.part, n.best.entry AS entry, unnest(p.x) AS v, unnest(range(1, len(p.x) + 1)) AS pos
+  FROM pieces p JOIN near{i} n USING (vec_id, part)) GROUP BY ALL),
+moved{i} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x FROM sums{i} GROUP BY ALL),
+book{j} AS (SELECT part, entry, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN moved{i} m USING (part, entry))"""
+OP11_SQL = (
+    """
+WITH good AS (
+ SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS (
+ SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x
+ FROM good, (SELECT unnest(range(16)) AS part)),
+book0 AS (
+ SELECT part, entry, x FROM pieces JOIN (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM good ORDER BY vec_id LIMIT 64) USING (vec_id)),"""
+    + ",".join(_OP11_ASSIGN.format(i=i) + "," + _OP11_MOVE.format(i=i, j=i + 1) for i in range(2))
+    + ","
+    + _OP11_ASSIGN.format(i=2)
+    + """,
+coded AS (
+ SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+ FROM near2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN good USING (vec_id), books
+"""
+)

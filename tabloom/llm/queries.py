@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
-from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL
+from tabloom.llm import codebooks, embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
+from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL, OP11_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -110,6 +110,13 @@ def op10_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_grid_cell_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("code", lambda index: F.lpad(F.lower(F.hex(index)), 2, "0"))
+    digest = F.lit(codebooks.books_digest(books)).alias("codebooks_sha256")
+    return found.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_mixture_language": op1_mixture_language,
     "op2_order_minhash": op2_order_minhash,
@@ -121,6 +128,12 @@ QUERIES = {
     "op8_agenda_pieces": op8_agenda_pieces,
     "op9_licence_paragraphs": op9_licence_paragraphs,
     "op10_rotation_codes": op10_rotation_codes,
+    "op11_grid_cell_codes": op11_grid_cell_codes,
 }
 
-ORACLES = {"op6_risk_controlled_rules": OP6_SQL, "op7_log_templates": OP7_SQL, "op10_rotation_codes": OP10_SQL}
+ORACLES = {
+    "op6_risk_controlled_rules": OP6_SQL,
+    "op7_log_templates": OP7_SQL,
+    "op10_rotation_codes": OP10_SQL,
+    "op11_grid_cell_codes": OP11_SQL,
+}
