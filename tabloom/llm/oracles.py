@@ -140,3 +140,37 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 FROM coded JOIN good USING (vec_id), books
 """
 )
+
+# Every source against every other, over all kept terms.
+OP12_SQL = r"""
+WITH d AS (
+ SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+row AS (SELECT row_number() OVER () AS r, lang, source, words FROM d),
+places AS (SELECT r, lang, source, unnest(words) AS term FROM row),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM places GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM places JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS (
+ SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+  1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+  1 + (1000000000 * (k.n + 5)) // (l.total + 5 * l.v) AS q
+ FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+ LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+ LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+differences AS (
+ SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+ FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+ SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+ FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN differences f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+more AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM more
+QUALIFY rank <= 50
+"""

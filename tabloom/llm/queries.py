@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import codebooks, embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
-from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL, OP11_SQL
+from tabloom.llm import codebooks, divergence, embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
+from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL, OP11_SQL, OP12_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
 from tabloom.sources.shared import materialize
@@ -117,6 +117,10 @@ def op11_grid_cell_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", digest)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixture_language": op1_mixture_language,
     "op2_order_minhash": op2_order_minhash,
@@ -129,6 +133,7 @@ QUERIES = {
     "op9_licence_paragraphs": op9_licence_paragraphs,
     "op10_rotation_codes": op10_rotation_codes,
     "op11_grid_cell_codes": op11_grid_cell_codes,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES = {
@@ -136,4 +141,5 @@ ORACLES = {
     "op7_log_templates": OP7_SQL,
     "op10_rotation_codes": OP10_SQL,
     "op11_grid_cell_codes": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
