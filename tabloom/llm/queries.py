@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import codebooks, divergence, embeddings, language, licenses, neardup, packing, pieces, quality, secrets, templates
+from tabloom.llm import codebooks, divergence, embeddings, language, licenses, neardup, packing, pieces, quality, secrets, suffixes, templates
 from tabloom.llm.oracles import OP6_SQL, OP7_SQL, OP10_SQL, OP11_SQL, OP12_SQL
 from tabloom.llm.sharding import shard
 from tabloom.sources.passengers import table
@@ -121,6 +121,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_front_coded_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.cut_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mixture_language": op1_mixture_language,
     "op2_order_minhash": op2_order_minhash,
@@ -134,6 +139,7 @@ QUERIES = {
     "op10_rotation_codes": op10_rotation_codes,
     "op11_grid_cell_codes": op11_grid_cell_codes,
     "op12_source_divergence": op12_source_divergence,
+    "op13_front_coded_suffixes": op13_front_coded_suffixes,
 }
 
 ORACLES = {
