@@ -46,8 +46,8 @@ from tabloom.sources.shared import materialize
 
 SPAN = 50
 GRAM = 24
-RUN_BYTES = 16_000_000
-BLOCK_BYTES = 2_000_000
+RUN_BYTES = 8_000_000
+BLOCK_BYTES = 1_000_000
 BUCKET_HASHES = 1_000_000
 BUCKET_SUFFIXES = 60_000
 LAST = np.iinfo(np.int64).max
