@@ -69,6 +69,23 @@ def test_odd_rows(spark):
     assert divergence.audit(df.limit(0)).count() == 0
 
 
+def test_document_vectors_equal_those_of_the_count_vectorizer(spark):
+    from pyspark.ml.feature import CountVectorizer
+
+    rows = [(i, prose(i, 30) + " Ÿ ÿ", "en", "s") for i in range(40)] + [(50, "", "en", "s")]
+    docs = documents(spark, rows).select("lang", "source", "text")
+    split = docs.select("text", divergence.F.expr("filter(split(lower(text), '[^a-zÿŸ]+'), x -> x <> '')").alias("words"))
+    model = CountVectorizer(inputCol="words", outputCol="v", minDF=6.0, vocabSize=2**31 - 1).fit(
+        split.selectExpr("transform(words, x -> replace(x, 'Ÿ', 'ÿ')) AS words").select("words")
+    )
+    kept = {row.term for row in divergence.vocabulary(docs, 6).collect()}
+    assert {term.replace("Ÿ", "ÿ") for term in kept} == set(model.vocabulary)
+    words = sorted("en" + divergence.MARK + term for term in kept)
+    for text, row in zip([text for _, text, _, _ in rows], divergence.document_vectors(docs.coalesce(1), words).collect()):
+        counts = Counter("en" + divergence.MARK + t for t in re.findall("[a-zÿŸ]+", text.translate(CAPITALS)))
+        assert {words[i]: n for i, n in zip(row.indices, row.counts)} == {t: n for t, n in counts.items() if t in words}
+
+
 def test_shares_are_exact_beyond_64_bits(spark):
     n, total, size = 4 * 10**17 + 1, 9 * 10**17, 10**9
     row = spark.range(1).selectExpr(f"{n}L AS n", f"{total}L AS total", f"{size}L AS size")
