@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,16 +17,18 @@ from tabloom.sources.shared import materialize
 BOX = {"minimum": 0.0, "lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75, "maximum": 1.0}
 
 
-def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """Share of rows predicted right, of all rows or for each group of ``by``."""
     hit = F.when(F.col(label) == F.col(prediction), 1.0).otherwise(0.0)
-    return df.agg(F.avg(hit).alias("accuracy"))
+    return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"))
 
 
-def weighted_f1(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """F1 of each class, averaged with the number of rows that carry the class as weight."""
-    cells = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(
-        F.count("*").alias("n")
-    )
+def weighted_f1(df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """F1 of each class, averaged with the number of rows that carry the class as weight.
+
+    Of all rows, or for each group of ``by``.
+    """
+    cells = df.groupBy(*by, F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count("*").alias("n"))
     none = F.lit(0).cast("bigint")
     hit = F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(none)
 
@@ -40,19 +44,19 @@ def weighted_f1(df: DataFrame, label: str = "label", prediction: str = "predicti
         side(F.col("l"), F.col("n"), none, hit), side(F.col("p"), none, F.col("n"), none)
     )
     classes = (
-        cells.select(F.explode(sides).alias("s"))
-        .groupBy("s.value")
+        cells.select(*by, F.explode(sides).alias("s"))
+        .groupBy(*by, "s.value")
         .agg(*[F.sum(f"s.{c}").alias(c) for c in ("labelled", "predicted", "hits")])
     )
     f1 = 2.0 * F.col("hits") / (F.col("labelled") + F.col("predicted"))
-    return classes.agg((F.sum(F.col("labelled") * f1) / F.sum("labelled")).alias("f1"))
+    return classes.groupBy(*by).agg((F.sum(F.col("labelled") * f1) / F.sum("labelled")).alias("f1"))
 
 
-def _ranked_scores(df, label, score, ascending, rows_per_range):
+def _ranked_scores(df, label, score, ascending, rows_per_range, by=()):
     positive = F.when(F.col(label) > 0.5, 1).otherwise(0)
     counts = materialize(
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(group_key([]).alias(KEY), F.col(score).cast("double").alias("threshold"))
+        .groupBy(group_key(by).alias(KEY), F.col(score).cast("double").alias("threshold"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
     return running_counts(
@@ -61,13 +65,23 @@ def _ranked_scores(df, label, score, ascending, rows_per_range):
 
 
 def area_under_roc(
-    df: DataFrame, label: str = "label", score: str = "score", rows_per_range: int = 1_000_000
+    df: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    rows_per_range: int = 1_000_000,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact area under the ROC curve; equal scores count half. Null if a class is missing."""
-    ranked = _ranked_scores(df, label, score, True, rows_per_range)
+    """Exact area under the ROC curve, of all rows or for each group of ``by``.
+
+    Equal scores count half. Null if a class is missing.
+    """
+    ranked = _ranked_scores(df, label, score, True, rows_per_range, by)
     won = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
     pairs = F.max(F.col("total_pos").cast("double") * F.col("total_neg"))
-    return ranked.agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("auc"))
+    area = (F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("auc")
+    if not by:
+        return ranked.agg(area)
+    return ranked.groupBy(KEY).agg(area).select(*[F.col(KEY)[c].alias(c) for c in by], "auc")
 
 
 def roc_curve(

@@ -21,7 +21,10 @@ UNSPECIFIED = "unspecified"
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """An estimator with its parameters, its search grid and what is reported about it."""
+    """An estimator with its parameters, its search grid and what is reported about it.
+
+    ``lengthens`` is a parameter whose smaller values give the beginning of the model that a larger one gives.
+    """
 
     title: str
     estimator: type[Estimator]
@@ -31,6 +34,7 @@ class ModelSpec:
     select_by: str | None = None
     report: Sequence[tuple[str, str]] = ()
     hidden_layers: Sequence[int] = ()
+    lengthens: str | None = None
 
     def build(self, inputs: int, classes: int = 2, seed: int = 1, **overrides: Any) -> Estimator:
         """A new estimator for ``inputs`` features. Every estimator that takes a seed gets it."""
@@ -75,6 +79,7 @@ CLASSIFIERS = {
         grid={"maxDepth": [1, 10, 20, 30], "maxIter": [7, 10, 14, 18]},
         select_by="auc",
         report=(("maxDepth", "maxDepth"), ("maxIter", "maxIter")),
+        lengthens="maxIter",
     ),
     "decision_tree": ModelSpec(
         "Decision Tree Classifier",

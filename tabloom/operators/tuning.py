@@ -1,30 +1,51 @@
-"""Cross-validated parameter search."""
+"""Cross-validated parameter search.
+
+Every fold prepares its rows once, fits all models on what it has stored, and scores the held rows with all of them
+in one pass; one grouped job then gives every model's metric exactly. A parameter that only lengthens a
+model (the number of boosting rounds) costs one fit for all its values: a shorter model is the beginning of the
+longest one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    Evaluator,
-    MulticlassClassificationEvaluator,
-)
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from tabloom.operators.evaluate import accuracy, area_under_roc, weighted_f1
+from tabloom.operators.features import SCALED
 from tabloom.operators.models import UNSPECIFIED, ModelSpec
 from tabloom.operators.split import Key, fold_number
-from tabloom.sources.shared import shared_folder
+from tabloom.sources.shared import shared_folder, training_table
 
 FOLD = "fold_"
+#: Many fits run at a time, so each is cut into fewer parts than a single one.
+ROWS_PER_PART = 50_000
 
 
-def evaluator(measure: str) -> Evaluator:
-    """``auc`` over every distinct score and not over 1000 bins, ``accuracy`` or weighted ``f1``."""
-    if measure == "auc":
-        return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
-    return MulticlassClassificationEvaluator(metricName=measure)
+@dataclass(frozen=True)
+class Search:
+    """``maps`` are the grid's entries, ``metrics`` their means over the folds, ``best`` the number of the best entry.
+
+    ``model`` is fitted with it on all rows and includes the prepared stages; ``parameters`` describes it. ``fits`` is
+    the number of models fitted in the folds, ``submodels`` the fitted models of each fold by entry, if kept.
+    """
+
+    maps: list[dict[str, Any]]
+    metrics: list[float | None]
+    best: int
+    model: PipelineModel
+    parameters: str
+    fits: int
+    submodels: list[list[Model]] = field(default_factory=list)
 
 
 def best_parameters(spec: ModelSpec, model: Model) -> str:
@@ -33,6 +54,56 @@ def best_parameters(spec: ModelSpec, model: Model) -> str:
     return " - ".join(f"{label}: {model.getOrDefault(name)}" for label, name in spec.report)
 
 
+def grid_maps(grid: Mapping[str, Sequence] | None) -> list[dict[str, Any]]:
+    """Every combination of the grid's values, the last parameter changing fastest; one empty map without a grid."""
+    grid = grid or {}
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def model_scores(df: DataFrame, model: Model, measure: str, out: str) -> DataFrame:
+    """``df`` with what ``measure`` needs of the model's output: the score of class 1 or the prediction."""
+    wanted = "rawPredictionCol" if measure == "auc" else "predictionCol"
+    # An empty name means that the model leaves this output out.
+    names = {model.getParam(p): "" for p in ("predictionCol", "rawPredictionCol", "probabilityCol") if model.hasParam(p)}
+    scored = model.transform(df, names | {model.getParam(wanted): out})
+    return scored.withColumn(out, vector_to_array(out)[1]) if measure == "auc" else scored
+
+
+def prefix_scores(df: DataFrame, model: Model, lengths: Sequence[int], measure: str, outs: Sequence[str]) -> DataFrame:
+    """``df`` with the outputs of the models that are the first trees of a boosted ``model``, one for each length.
+
+    A tree is evaluated once for all lengths. The score of class 1 is the weighted sum of the trees, the prediction its sign.
+    """
+    trees = [f"{outs[0]}_tree_{i}" for i in range(max(lengths))]
+    for tree, name in zip(model.trees, trees):
+        df = tree.transform(df, {tree.getParam("predictionCol"): name})
+    margins: list[Column] = []
+    for weight, name in zip(model.treeWeights, trees):
+        margins.append((margins[-1] if margins else F.lit(0.0)) + F.lit(weight) * F.col(name))
+    for length, out in zip(lengths, outs):
+        margin = margins[length - 1]
+        df = df.withColumn(out, margin if measure == "auc" else F.when(margin > 0, 1.0).otherwise(0.0))
+    return df.drop(*trees)
+
+
+def _metric(scored: DataFrame, measure: str) -> DataFrame:
+    """(entry, metric) of rows (entry, label, score), for all models at once."""
+    if measure == "auc":
+        return area_under_roc(scored, by=["entry"]).select("entry", F.col("auc").alias("metric"))
+    if measure == "accuracy":
+        return accuracy(scored, prediction="score", by=["entry"]).select("entry", F.col("accuracy").alias("metric"))
+    return weighted_f1(scored, prediction="score", by=["entry"]).select("entry", F.col("f1").alias("metric"))
+
+
+def _families(spec: ModelSpec, maps: Sequence[dict[str, Any]]) -> list[list[int]]:
+    """Numbers of the entries that one fit serves: those that differ in the lengthening parameter alone."""
+    found: dict[tuple, list[int]] = {}
+    for entry, values in enumerate(maps):
+        name = tuple((k, v) for k, v in values.items() if k != spec.lengthens)
+        found.setdefault(name, []).append(entry)
+    return list(found.values())
+
+
 def cross_validate(
     spec: ModelSpec,
     train: DataFrame,
@@ -42,31 +113,76 @@ def cross_validate(
     grid: Mapping[str, Sequence] | None = None,
     classes: int = 2,
     seed: int = 1,
-    parallelism: int = 4,
+    parallelism: int = 8,
     keep_submodels: bool = False,
     prepare: Sequence[Transformer | Estimator] = (),
-) -> tuple[CrossValidatorModel, str]:
+    **overrides: Any,
+) -> Search:
     """Search ``grid`` (by default the one of ``spec``) and refit the best entry on all of ``train``.
 
-    Folds come from the hash of ``key``, so they do not depend on the partitioning. Every fold and
-    the last fit read ``train``, so it should be a stored table. Stages in ``prepare`` (a scaler, for
-    example) are fitted inside each fold, with that fold's rows. A model without a metric of its own is
-    chosen by F1. Returns the search result and the best parameters as text.
+    Folds come from the hash of ``key``, so they do not depend on the partitioning; ``train`` is read for every
+    fold and should be a stored table. Stages in ``prepare`` (a scaler, for example) are fitted once inside
+    each fold, with that fold's rows. A model without a metric of its own is chosen by F1, the first of equal entries
+    is taken, and folds in which the metric isn't defined don't count. ``overrides`` are further parameters of the estimator.
     """
-    shared_folder(train.sparkSession)
-    estimator = spec.build(inputs, classes, seed)
-    builder = ParamGridBuilder()
-    for name, values in ((spec.grid if grid is None else grid) or {}).items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*prepare, estimator]) if prepare else estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=evaluator(spec.select_by or "f1"),
-        numFolds=folds,
-        foldCol=FOLD,
-        parallelism=parallelism,
-        collectSubModels=keep_submodels,
-    )
-    found = search.fit(train.withColumn(FOLD, fold_number(folds, seed, key)))
-    best = found.bestModel.stages[-1] if prepare else found.bestModel
-    return found, best_parameters(spec, best)
+    spark = train.sparkSession
+    shared_folder(spark)
+    estimator = spec.build(inputs, classes, seed, **overrides)
+    maps = grid_maps(spec.grid if grid is None else grid)
+    families, measure = _families(spec, maps), spec.select_by or "f1"
+    numbered = train.withColumn(FOLD, fold_number(folds, seed, key))
+    totals: list[list[float]] = [[] for _ in maps]
+    submodels: list[list[Model]] = []
+
+    def longest(family: list[int]) -> int:
+        return max(family, key=lambda entry: maps[entry].get(spec.lengthens, 0))
+
+    def fit(rows: DataFrame, entry: int) -> Model:
+        return estimator.fit(rows, {estimator.getParam(name): value for name, value in maps[entry].items()})
+
+    def ready(fold: int) -> tuple[PipelineModel, DataFrame]:
+        own = numbered.where(F.col(FOLD) != fold)
+        prepared = Pipeline(stages=list(prepare)).fit(own)
+        rows = training_table(prepared.transform(own).select("label", SCALED), ROWS_PER_PART)
+        return prepared, rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def scores(fold: int, prepared: PipelineModel, models: Sequence[Model]) -> DataFrame:
+        held = prepared.transform(numbered.where(F.col(FOLD) == fold)).select("label", SCALED)
+        for family, model in zip(families, models):
+            if len(family) == 1:
+                held = model_scores(held, model, measure, f"score_{family[0]}")
+            else:
+                lengths = [maps[entry][spec.lengthens] for entry in family]
+                held = prefix_scores(held, model, lengths, measure, [f"score_{entry}" for entry in family])
+        each = F.array(*[F.struct(F.lit(i).alias("entry"), F.col(f"score_{i}").alias("score")) for i in range(len(maps))])
+        return held.select("label", F.explode(each).alias("s")).select("label", "s.entry", "s.score")
+
+    # As many folds at a time as there are fits to run side by side.
+    together = max(1, parallelism // len(families))
+    for start in range(0, folds, together):
+        wave = {fold: ready(fold) for fold in range(start, min(start + together, folds))}
+        work = [(rows, longest(family)) for _, rows in wave.values() for family in families]
+        try:
+            with ThreadPool(max(1, min(parallelism, len(work)))) as pool:
+                fitted = pool.map(inheritable_thread_target(spark)(lambda task: fit(*task)), work, chunksize=1)
+        finally:
+            for _, rows in wave.values():
+                rows.unpersist()
+        for at, (fold, (prepared, _)) in enumerate(wave.items()):
+            models = fitted[at * len(families) : (at + 1) * len(families)]
+            for row in _metric(scores(fold, prepared, models), measure).collect():  # one row for each entry
+                if row["metric"] is not None:
+                    totals[row["entry"]].append(row["metric"])
+            if keep_submodels:
+                kept = {entry: model for family, model in zip(families, models) for entry in family}
+                submodels.append([kept[entry] for entry in range(len(maps))])
+    metrics = [sum(found) / len(found) if found else None for found in totals]
+    best = max(range(len(maps)), key=lambda entry: -1.0 if metrics[entry] is None else metrics[entry])
+    prepared = Pipeline(stages=list(prepare)).fit(train)
+    rows = training_table(prepared.transform(train).select("label", SCALED)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit(rows, best)
+    finally:
+        rows.unpersist()
+    whole = PipelineModel(stages=[*prepared.stages, model])
+    return Search(maps, metrics, best, whole, best_parameters(spec, model), folds * len(families), submodels)

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from tabloom.operators.evaluate import accuracy, area_under_roc, confidence
 from tabloom.operators.features import feature_frames, feature_pipeline, to_label
 from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
 from tabloom.operators.split import Key, hash_split
-from tabloom.operators.tuning import cross_validate
+from tabloom.operators.tuning import Search, cross_validate
 from tabloom.schemas import COMPARISON_SCHEMA, FEATURES, TARGET
 from tabloom.sources.shared import materialize, training_table
 
@@ -31,7 +30,7 @@ class Comparison:
 
     table: DataFrame
     confidences: DataFrame
-    searches: Mapping[str, CrossValidatorModel]
+    searches: Mapping[str, Search]
 
 
 def train_and_test(
@@ -60,7 +59,7 @@ def compare_models(
     folds: int = 5,
     classes: int = 2,
     seed: int = 1,
-    parallelism: int = 4,
+    parallelism: int = 8,
     keep_submodels: bool = False,
 ) -> Comparison:
     """Fit every model with its standard parameters and, if it has a grid, with the best of that grid.
@@ -98,11 +97,11 @@ def compare_models(
         grid = (grids or {}).get(name, spec.grid)
         if grid is None:
             continue
-        searches[name], parameters = cross_validate(
+        searches[name] = cross_validate(
             spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages
         )
-        predictions = searches[name].bestModel.transform(test)
-        record(SEARCHED_TITLE.format(spec.title), spec, predictions, parameters)
+        predictions = searches[name].model.transform(test)
+        record(SEARCHED_TITLE.format(spec.title), spec, predictions, searches[name].parameters)
     spark = df.sparkSession
     none = spark.createDataFrame([], "model string, confidence double")
     return Comparison(spark.createDataFrame(rows, COMPARISON_SCHEMA), reduce(DataFrame.unionByName, confidences, none), searches)

@@ -69,19 +69,19 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` in partitions of about ``ROWS_PER_PART`` rows, for work repeated on them.
+def spread(df: DataFrame, rows: int, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``df`` in partitions of about ``rows_per_part`` rows, for work repeated on them.
 
     The number of partitions follows from the number of rows alone, rows go to them by the hash of their
     plain columns and are sorted there. So a fit that draws rows by partition gives the same model
     on every machine and however the rows came.
     """
     plain = [f.name for f in df.schema if isinstance(f.dataType, (NumericType, StringType, BooleanType))]
-    parts = max(1, math.ceil(rows / ROWS_PER_PART))
+    parts = max(1, math.ceil(rows / rows_per_part))
     return df.repartition(parts, *plain).sortWithinPartitions(*plain) if plain else df.repartition(parts)
 
 
-def training_table(df: DataFrame) -> DataFrame:
+def training_table(df: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Table for fits that read it several times: stored as it is, dealt out evenly whenever it is read."""
     stored = materialize(df)
-    return spread(stored, stored.count())
+    return spread(stored, stored.count(), rows_per_part)

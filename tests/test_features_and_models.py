@@ -1,14 +1,22 @@
 import numpy as np
 import pytest
 from pyspark.errors import IllegalArgumentException
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+    RegressionEvaluator,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.operators.features import assembler, feature_frames, feature_pipeline, scaled_regression
+from tabloom.operators import tuning
+from tabloom.operators.features import assembler, feature_frames, feature_pipeline, scaled_regression, scaler
 from tabloom.operators.models import CLASSIFIERS, REGRESSORS, fit_predict
-from tabloom.operators.tuning import best_parameters, cross_validate, evaluator
+from tabloom.operators.split import fold_number
+from tabloom.operators.tuning import best_parameters, cross_validate
 from tabloom.schemas import FEATURES
+from tabloom.sources.shared import training_table
 
 
 def test_assembling_a_null_raises(spark):
@@ -52,16 +60,16 @@ def test_classifiers_beat_chance_and_repeat(frames, name):
     columns = ["PassengerId", "prediction"]
     assert first.count() == test.count()
     assert first.select(columns).exceptAll(again.select(columns)).isEmpty()
-    assert evaluator("accuracy").evaluate(first) > 0.75
+    assert MulticlassClassificationEvaluator(metricName="accuracy").evaluate(first) > 0.75
     if CLASSIFIERS[name].measures[0] == "auc":
-        assert evaluator("auc").evaluate(first) > 0.8
+        assert BinaryClassificationEvaluator(numBins=0).evaluate(first) > 0.8
     assert ("probability" in first.columns) == (name != "svc")
 
 
 def test_naive_bayes_needs_features_that_are_not_negative(frames, spark):
     train, test = frames
     _, predictions = fit_predict(CLASSIFIERS["naive_bayes"].build(len(FEATURES)), train, test)
-    assert evaluator("accuracy").evaluate(predictions) > 0.6
+    assert MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predictions) > 0.6
     df = spark.createDataFrame([(0.0, -1.0), (1.0, 1.0)], "label double, a double")
     with pytest.raises(Exception, match="(?i)negative"):
         CLASSIFIERS["naive_bayes"].build(1).fit(assembler(["a"], "features").transform(df))
@@ -109,10 +117,51 @@ def test_search_repeats_on_any_partitioning_and_reports_the_best(frames):
         cross_validate(spec, part, 12, "PassengerId", folds=3, grid=grid, keep_submodels=True)
         for part in (train.repartition(1), train.repartition(5))
     ]
-    (one, text), (other, _) = results
-    np.testing.assert_allclose(one.avgMetrics, other.avgMetrics, atol=1e-6)
-    assert text == "regParam: 0.0 - MaxIter: 5 - elasticNetParam: 1.0"
-    assert len(one.subModels) == 3 and len(one.subModels[0]) == 2
+    one, other = results
+    np.testing.assert_allclose(one.metrics, other.metrics, atol=1e-6)
+    assert one.parameters == "regParam: 0.0 - MaxIter: 5 - elasticNetParam: 1.0" and one.best == 0
+    assert len(one.submodels) == 3 and len(one.submodels[0]) == 2 and one.fits == 6
+
+
+def test_search_equals_a_loop_of_fits_and_evaluators(frames, monkeypatch):
+    train, _ = frames
+    fitted = []
+    original = Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, rows: fitted.append(1) or original(self, rows))
+    grids = {
+        "logistic": {"regParam": [0.0, 0.3], "maxIter": [1, 5]},
+        "gbt": {"maxDepth": [1, 3], "maxIter": [2, 5, 3]},
+        "decision_tree": {"maxDepth": [2, 4]},
+    }
+    stages = [scaler("features", "features_2")]
+    for name, grid in grids.items():
+        fitted.clear()
+        spec = CLASSIFIERS[name]
+        found = cross_validate(spec, train, 12, "PassengerId", folds=2, grid=grid, prepare=stages)
+        assert len(fitted) == 3  # one for each fold and one for the last fit, however many maps there are
+        assert found.fits == 2 * (2 if name == "gbt" else len(found.maps))
+        numbered = train.withColumn("fold", fold_number(2, 1, "PassengerId"))
+        judge = BinaryClassificationEvaluator(numBins=0) if spec.select_by == "auc" else MulticlassClassificationEvaluator(metricName="f1")
+        for values, metric in zip(found.maps, found.metrics):
+            each = []
+            for fold in range(2):
+                rows = training_table(numbered.where(F.col("fold") != fold).select("label", "features"), tuning.ROWS_PER_PART)
+                model = spec.build(12, **values).fit(rows)
+                each.append(judge.evaluate(model.transform(numbered.where(F.col("fold") == fold))))
+            assert metric == pytest.approx(np.mean(each), abs=1e-9), (name, values)
+
+
+def test_a_shorter_boosted_model_is_the_beginning_of_a_longer_one(frames):
+    train, test = frames
+    spec = CLASSIFIERS["gbt"]
+    longest = spec.build(12, maxDepth=4, maxIter=6).fit(train)
+    for measure, columns in (("auc", "rawPrediction"), ("f1", "prediction")):
+        scored = tuning.prefix_scores(test, longest, [1, 4, 6], measure, ["a", "b", "c"])
+        assert [c for c in scored.columns if "tree" in c] == []
+        for length, out in ((1, "a"), (4, "b"), (6, "c")):
+            short = spec.build(12, maxDepth=4, maxIter=length).fit(train).transform(scored)
+            value = vector_to_array(columns)[1] if measure == "auc" else F.col(columns)
+            assert short.where(F.abs(value - F.col(out)) > 1e-12).isEmpty()
 
 
 def test_report_texts(frames):
@@ -128,5 +177,5 @@ def test_report_texts(frames):
 
 def test_empty_grid_is_one_entry(frames):
     spec = CLASSIFIERS["mlp"]
-    found, text = cross_validate(spec, frames[0], 12, "PassengerId", folds=2)
-    assert len(found.avgMetrics) == 1 and text == "unspecified"
+    found = cross_validate(spec, frames[0], 12, "PassengerId", folds=2)
+    assert len(found.metrics) == 1 and found.maps == [{}] and found.parameters == "unspecified"

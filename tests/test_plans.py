@@ -109,5 +109,5 @@ def test_comparison_takes_any_grid_and_may_be_empty(people):
         "Linear Support Vector Machine - Cross Validation",
     ]
     assert found.confidences.isEmpty()
-    assert [len(models) for models in found.searches["svc"].subModels] == [2, 2]
+    assert [len(models) for models in found.searches["svc"].submodels] == [2, 2]
     assert compare_models(people, ["PassengerId"], []).table.isEmpty()
