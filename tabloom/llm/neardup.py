@@ -9,20 +9,25 @@ with 64 entries, of 400 simulated pairs of 300 distinct words each, all became c
 0.82 or more, and 0.99 of them at 0.80. Candidates are not exact: evenly spaced changes, which leave fewer k-mers,
 and texts of a few words can be missed.
 
-1. Texts are compared once: exact copies are collapsed by digest, whatever their number.
-2. Every text that shares an entry is compared with the smallest text of that entry. In groups of copies this
-   already links nearly all, with one comparison each.
-3. What shares an entry but is not yet in one class is compared pair by pair within the entry, in blocks of
-   bounded size, until classes meet; pairs that have too few words in common are skipped. So no link between classes
-   is lost, and a large group does not cost the square of its size unless its texts really differ.
+1. Texts are compared once: exact copies are collapsed by digest, whatever their number, and distinct texts are
+   numbered. Only entries that several texts have are kept, with their texts' numbers.
+2. Every text that shares an entry is compared with the smallest text of that entry, if their lengths allow a
+   link. In groups of copies this already links nearly all, with one comparison each.
+3. What shares an entry but is not yet in one class is compared within the entry, among texts whose lengths allow a
+   link, in blocks of bounded size: the entry's largest class against all others, and these among themselves. A pair
+   is compared in the first entry that both have and only until their classes meet; pairs that have too few words in
+   common are skipped. So no link between classes is lost, and a large group costs the square of its size only where
+   its texts really differ.
 
 Defined cases: a null text counts as empty; equal texts, empty ones too, are one class; texts of fewer than four
 words have one k-mer, all their words; rows with equal or null keys are rows of their own, and exactly one row
-of a class is kept, that with the smallest key (nulls last); an empty table gives an empty result.
+of a class is kept, that with the smallest key (nulls last); an empty table gives an empty result; texts of any length
+are read whole; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +44,7 @@ from tabloom.sources.shared import materialize
 WORDS = 4
 ENTRIES = 64
 SIMILARITY = 0.8
-BLOCK_TEXTS = 256
+BLOCK_TEXTS = 512
 SEED = 11
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -98,10 +103,12 @@ class Sketcher:
         seen[order] = at - np.maximum.accumulate(np.where(first, at, 0))
         return _mixed(kmers + seen * np.uint64(_INVERSE))
 
-    def sketch(self, text: str) -> list[int]:
-        labels = self.labelled(self.word_hashes(text))
+    def sketch(self, text: str) -> tuple[list[int], int]:
+        """The sketch and the number of words."""
+        hashes = self.word_hashes(text)
+        labels = self.labelled(hashes)
         if not len(labels):
-            return []
+            return [], 0
         ranks = (labels[None, :] ^ self.xor) * self.odd
         ranks ^= ranks >> np.uint64(32)
         entry = np.arange(len(ranks))
@@ -112,7 +119,7 @@ class Sketcher:
             second = ranks.argmin(axis=1)
         early, late = labels[np.minimum(first, second)], labels[np.maximum(first, second)]
         keys = _mixed(_mixed(early * np.uint64(_BASE) + late) + entry.astype(np.uint64))
-        return keys.view(np.int64).tolist()
+        return keys.view(np.int64).tolist(), len(hashes)
 
 
 def word_ids(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -171,20 +178,25 @@ def digest(text: str) -> Column:
 
 
 def sketches(df: DataFrame, key: str, text: str, entries: int, words: int) -> DataFrame:
-    """(key, node, sketch) of every row, ``node`` being the digest of its text."""
+    """(key, digest, sketch, size) of every row, ``size`` being the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(entries, words)
         for batch in batches:
-            found = [sketcher.sketch(body) for body in texts_of(batch, text)]
+            found = [sketcher.sketch(body) for body in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("node"), pa.array(found, pa.list_(pa.int64()))],
-                ["key", "node", "sketch"],
+                [
+                    batch.column("key"),
+                    batch.column("digest"),
+                    pa.array([sketch for sketch, _ in found], pa.list_(pa.int64())),
+                    pa.array([size for _, size in found], pa.int64()),
+                ],
+                ["key", "digest", "sketch", "size"],
             )
 
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("key"), digest(text).alias("node"), text)
-    return rows.mapInArrow(run, f"key {kind}, node binary, sketch array<long>")
+    rows = df.select(F.col(key).alias("key"), digest(text).alias("digest"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"key {kind}, digest binary, sketch array<long>, size long")
 
 
 def verify(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -199,7 +211,7 @@ def verify(pairs: DataFrame, similarity: float) -> DataFrame:
                 keep.append(similar(a, b, similarity, max(len(known), 1)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a binary, b binary")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
 class Common:
@@ -227,38 +239,87 @@ class Common:
 
 
 def compare_block(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Edges that join classes among the texts of an entry (or of two of its blocks)."""
+    """Edges that join classes among the texts of an entry and length (or of two of their blocks)."""
     crossing = int(frame["first"].iat[0]) != int(frame["second"].iat[0])
     frame = frame.sort_values("node", ignore_index=True)
-    known: dict[bytes, int] = {}
-    texts = [word_ids(text, known) for text in frame["text"]]
-    lengths = np.asarray([len(t) for t in texts])
+    nodes, entry = frame["node"].to_numpy(), int(frame["entry"].iat[0])
+    lengths, visitor, block = (frame[c].to_numpy() for c in ("size", "visitor", "block"))
     label = frame["class"].factorize()[0]
-    block = frame["block"].to_numpy()
-    base = max(len(known), 1)
-    words = Common([occurrences(text, base) for text in texts])
-    pairs = Common([occurrences(word_pairs(text, base), base * base) for text in texts])
+    known: dict[bytes, int] = {}
+    own = [set(x) for x in frame["entries"]]
+    texts: list[np.ndarray] = []
     edges = []
-    for i in range(len(texts) - 1):
-        rest = np.arange(i + 1, len(texts))
-        ok = label[rest] != label[i]
+    for i in range(len(nodes) - 1):
+        rest = np.arange(i + 1, len(nodes))
+        longer = np.maximum(lengths[rest], lengths[i])
+        limit = (longer * (1 - similarity) + 1e-9).astype(int)
+        ok = (label[rest] != label[i]) & (np.abs(lengths[rest] - lengths[i]) <= limit) & ~(visitor[rest] & visitor[i])
         if crossing:
             ok &= block[rest] != block[i]
+        # A pair is compared in the first entry that both have.
+        ok[ok] = [min(own[i] & own[j]) == entry for j in rest[ok]]
         if not ok.any():
             continue
-        longer = np.maximum(lengths[rest], lengths[i])
-        limit = (longer * (1 - similarity) + 1e-9).astype(int)
-        ok &= np.abs(lengths[rest] - lengths[i]) <= limit
+        if not texts:
+            texts = [word_ids(text, known) for text in frame["text"]]
+            base = max(len(known), 1)
+            words = Common([occurrences(text, base) for text in texts])
+            pairs = Common([occurrences(word_pairs(text, base), base * base) for text in texts])
         ok[ok] = pairs.with_text(i)[rest[ok]] >= least_pairs(longer, limit)[ok]
         if ok.any():
             ok[ok] = words.with_text(i)[rest[ok]] >= least_words(longer, limit)[ok]
         for j, most in zip(rest[ok].tolist(), limit[ok].tolist()):
             if label[i] != label[j] and distance_within(texts[i], texts[j], most) is not None:
-                edges.append((frame["node"].iat[i], frame["node"].iat[j]))
+                edges.append((nodes[i], nodes[j]))
                 label[label == label[j]] = label[i]
     return pd.DataFrame(edges, columns=["a", "b"])
 
 
+def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, block_texts: int) -> DataFrame:
+    """Rows (entry, g, first, second, block, visitor, node, size, class): what is to be compared with what.
+
+    A group ``g`` of an entry has the texts of one range of lengths and, as visitors, those of the next longer one;
+    lengths that allow a link are in the same range or in neighbouring ones.
+    """
+    step = -math.log(similarity) * 1.0001
+    placed = (
+        grouped.join(classes.withColumnRenamed("vertex", "node"), "node", "left")
+        .select("entry", "node", "size", F.coalesce("component", "node").alias("class"))
+        .withColumn("visitor", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("g", F.floor(F.log("size") / step) - F.col("visitor").cast("long"))
+    )
+    placed = materialize(placed)
+    counts = placed.groupBy("entry", "g", "class").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("visitor")).cast("long")).alias("home")
+    )
+    groups = (
+        counts.groupBy("entry", "g")
+        .agg(
+            F.max(F.struct("n", "class")).alias("major"), F.sum("n").alias("n"), F.sum("home").alias("home"),
+            F.count(F.lit(1)).alias("classes"),
+        )
+        .where("home > 0 AND classes > 1")
+    )
+    groups = groups.select(
+        "entry", "g", F.col("major.class").alias("major"),
+        F.ceil(F.col("major.n") / block_texts).alias("majors"),
+        F.ceil((F.col("n") - F.col("major.n")) / block_texts).alias("others"),
+    )
+    # The largest class has the first blocks and is compared with the others only.
+    blocks = F.col("majors") + F.col("others")
+    spread = F.xxhash64("node", F.lit(SEED))
+    major = F.col("class") == F.col("major")
+    block = F.when(major, F.pmod(spread, "majors")).otherwise(F.col("majors") + F.pmod(spread, "others"))
+    other = F.sequence(F.when(major, F.col("majors")).otherwise(F.lit(0).cast("long")), blocks - 1)
+    return (
+        placed.join(materialize(groups), ["entry", "g"])
+        .withColumn("block", block)
+        .withColumn("other", F.explode(other))
+        .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+        .select("entry", "g", "first", "second", "block", "visitor", "node", "size", "class")
+    )
+
+
 def near_duplicates(
     df: DataFrame,
     key: str = "doc_id",
@@ -270,52 +331,47 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``df``: key, ``component_id`` (smallest key of its class), ``kept``."""
     members = materialize(sketches(df, key, text, entries, words).withColumn("row", F.monotonically_increasing_id()))
-    nodes = members.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    entry = materialize(nodes.select("node", F.explode(F.array_distinct("sketch")).alias("entry")))
-    shared = entry.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
-    shared = materialize(shared)
-    grouped = entry.join(shared, "entry")
+    order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
+    distinct = members.groupBy("digest").agg(
+        F.min("row").alias("node"), F.min(order).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
+    )
+    distinct = materialize(distinct)
+    entry = distinct.select("node", "size", F.explode(F.array_distinct("sketch")).alias("entry"))
+    shared = entry.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("leader"))
+    shared = materialize(shared.where("n > 1").drop("n"))
+    # Few of the entries have a partner; the other rows are read no more.
+    grouped = materialize(entry.join(shared.hint("merge"), "entry"))
 
     # Every text against the smallest of its entries.
-    stars = materialize(grouped.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    bodies = df.select(digest(text).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = materialize(bodies.join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
+    longer, shorter = F.greatest("size", "leader.size"), F.least("size", "leader.size")
+    may = longer - shorter <= F.floor(longer * (1 - similarity) + 1e-9)
+    pairs = grouped.where((F.col("node") != F.col("leader.node")) & may)
+    stars = materialize(pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct())
+    # A text is fetched from one row, that with the least key, so copies stay where they are.
+    wanted = distinct.join(grouped.select("node").distinct(), "node", "left_semi").select(
+        F.col("digest").alias("d"), F.col("least.key").alias("k"), "node"
+    )
+    bodies = df.select(F.col(key).alias("key"), digest(text).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
+    found = bodies.join(materialize(wanted).hint("merge"), same).groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(found)
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     star_edges = materialize(verify(stars.join(side("a"), "a").join(side("b"), "b"), similarity))
     classes = components(star_edges)
 
     # Entries whose texts are still in several classes.
-    labelled = (
-        entry.join(shared.select("entry", "n"), "entry")
-        .join(classes.withColumnRenamed("vertex", "node"), "node", "left")
-        .select("entry", "n", "node", F.coalesce("component", "node").alias("class"))
-    )
-    labelled = materialize(labelled)
-    open_entries = (
-        labelled.groupBy("entry").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    )
-    blocks = F.ceil(F.col("n") / block_texts)
-    blocked = (
-        labelled.join(open_entries.select("entry"), "entry", "left_semi")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), "blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-        .join(texts, "node")
-    )
-    block_edges = blocked.groupBy("entry", "first", "second").applyInPandas(
-        lambda frame: compare_block(frame, similarity), "a binary, b binary"
+    blocked = materialize(_open_blocks(grouped, classes, similarity, block_texts))
+    own = blocked.groupBy("node").agg(F.collect_set("entry").alias("entries"))  # as many as a sketch has at most
+    block_edges = (
+        blocked.join(texts.join(own, "node"), "node")
+        .groupBy("entry", "g", "first", "second")
+        .applyInPandas(lambda frame: compare_block(frame, similarity), "a long, b long")
     )
     linked = components(star_edges.unionByName(materialize(block_edges)))
 
-    found = (
-        members.select("key", "node", "row")
-        .join(linked.withColumnRenamed("vertex", "node"), "node", "left")
-        .select("key", "row", F.coalesce("component", "node").alias("class"))
-    )
-    found = materialize(found)
-    order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
+    nodes = distinct.select("digest", "node").join(linked.withColumnRenamed("vertex", "node"), "node", "left")
+    named = materialize(nodes.select("digest", F.coalesce("component", "node").alias("class")))
+    found = materialize(members.select("key", "digest", "row").join(named, "digest").select("key", "row", "class"))
     keepers = materialize(found.groupBy("class").agg(F.min(order).alias("keeper")))
     return found.join(keepers, "class").select(
         F.col("key").alias(key),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import islice
 from multiprocessing.pool import ThreadPool
@@ -109,6 +110,73 @@ def grouped_map(
     return joined.mapInPandas(apply, schema)
 
 
+def grouped_reduce(
+    df: DataFrame,
+    by: Sequence[str],
+    state: StructType | str,
+    summarize: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: Callable[[pd.DataFrame], pd.DataFrame],
+    finish: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+    schema: StructType | str | None = None,
+    rows_per_state: int = 10_000,
+) -> DataFrame:
+    """A pandas function of whole groups in two stages, for groups of any size.
+
+    ``summarize`` turns rows of one group into a state (rows with the columns ``state``), ``merge`` turns several
+    states into one, and ``finish`` the last state into the result with the columns ``schema``. All must not
+    depend on the order of rows. Rows are summarized where they are, a batch at a time, so neither does a hot group
+    meet in one task nor are rows shuffled. Its states are merged in rounds, ``rows_per_state`` rows of states at a time
+    at most, until every group has one. Grouping columns come first in the result; null keys are groups like any others.
+    """
+    by = list(by)
+    keys = [df.schema[c] for c in by]
+    kind = StructType.fromDDL(state) if isinstance(state, str) else state
+    stored = StructType([*keys, *kind.fields])
+
+    def reduced(function):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for _, group in frame.groupby(by, dropna=False, sort=False) if by else [((), frame)]:
+                    made = function(group)
+                    head = {c: [group[c].iat[0]] * len(made) for c in by}
+                    yield pd.DataFrame(head | {f.name: made[f.name].to_numpy() for f in kind.fields})
+
+        return run
+
+    states = materialize(df.mapInPandas(reduced(summarize), stored))
+    part, before = "part_", math.inf
+    while True:
+        counts = states.groupBy(group_key(by).alias(KEY)).agg(F.count("*").alias(ROWS))
+        largest = counts.agg(F.max(ROWS)).first()[0] or 0
+        if largest > rows_per_state and largest >= before:
+            raise ValueError("merging does not make the states of a group fewer")
+        before = largest
+        rounds_left = largest > rows_per_state
+        # States of a group are dealt to as many tasks as they need; the last round has one task a group.
+        dealt = F.pmod(F.monotonically_increasing_id(), F.lit(math.ceil(largest / rows_per_state) if rounds_left else 1))
+        numbered = materialize(states.withColumn(part, dealt)) if rounds_left else states.withColumn(part, F.lit(0).cast("long"))
+
+        def merged(frame: pd.DataFrame) -> pd.DataFrame:
+            made = merge(frame.drop(columns=[part]))
+            head = {c: [frame[c].iat[0]] * len(made) for c in by}
+            return pd.DataFrame(head | {f.name: made[f.name].to_numpy() for f in kind.fields})
+
+        merged_states = materialize(numbered.groupBy(*by, part).applyInPandas(merged, stored))
+        if not rounds_left:
+            break
+        states = merged_states
+    if finish is None:
+        return merged_states
+    last = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def finished(frame: pd.DataFrame) -> pd.DataFrame:
+        made = finish(frame)
+        head = {c: [frame[c].iat[0]] * len(made) for c in by}
+        return pd.DataFrame(head | {f.name: made[f.name].to_numpy() for f in last.fields})
+
+    return merged_states.groupBy(*by).applyInPandas(finished, StructType([*keys, *last.fields]))
+
+
 def _fill(df: DataFrame, target: str) -> DataFrame:
     filled = F.coalesce(F.col(target), F.col(FILL)).alias(target)
     return df.select(*[filled if c == target else F.col(c) for c in df.columns if c != FILL])

@@ -1,9 +1,10 @@
 """Running counts and exact quantiles over an ordered column, without a one-task window.
 
-An ordinary running window puts a whole group, or the whole table, into one task. Here the ordered
-column is cut into ranges of about equal size. Each range is summed up, the few range sums are
-accumulated, and the running counts are then taken inside each range on top of its offset. The cut
-points only decide which task does which rows; the counts are exact for any cut points.
+An ordinary running window puts a whole group, or the whole table, into one task. Here the rows are
+sorted into ranges of group and value, as many as their number asks for, and stored with the number of their
+range. Each range is summed up by group, these sums are accumulated within each group, and the running counts are
+then taken inside each range on top of its offset. Where a range begins only decides which task does which
+rows; the counts are exact wherever it does.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,20 +20,15 @@ from tabloom.operators.attach import KEY
 from tabloom.sources.shared import materialize
 
 RANGE = "value_range_"
-MAX_RANGES = 10_000
 
 
 def _ranged(counts: DataFrame, value: str, rows_per_range: int) -> tuple[DataFrame, bool]:
-    ranges = min(MAX_RANGES, math.ceil(counts.count() / rows_per_range))
+    """``counts`` with the number of the range that a row is in; ranges are in the order of group and value."""
+    ranges = math.ceil(counts.count() / rows_per_range)
     if ranges <= 1:
         return counts.withColumn(RANGE, F.lit(0)), False
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.approxQuantile(value, steps, 0.25 / ranges)))
-    cuts = [c for c in cuts if math.isfinite(c)]
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol=value, outputCol=RANGE, handleInvalid="keep"
-    )
-    return bucketizer.transform(counts).withColumn(RANGE, F.col(RANGE).cast("int")), True
+    dealt = counts.repartitionByRange(ranges, KEY, value).withColumn(RANGE, F.spark_partition_id())
+    return materialize(dealt), True
 
 
 def running_counts(

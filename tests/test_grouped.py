@@ -5,7 +5,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.operators.grouped import grouped_impute, grouped_map, grouped_standardize
+from tabloom.operators.attach import attach, stored_bytes
+from tabloom.operators.grouped import (
+    grouped_impute,
+    grouped_map,
+    grouped_reduce,
+    grouped_standardize,
+    per_group,
+)
 
 SCHEMA = "id long, g string, x double, y double"
 
@@ -186,3 +193,38 @@ def test_nan_is_missing_and_the_target_a_double(spark, strategy):
     assert sorted(r.y for r in filled.collect()) == [2.0, 3.0, 3.0, 4.0]
     whole = df.where("y = y OR y IS NULL").withColumn("y", F.nanvl("y", F.lit(None)).cast("int"))
     assert dict(grouped_impute(whole, ["g"], "y", ["x"], strategy, trees=2).dtypes)["y"] == "double"
+
+
+@pytest.mark.parametrize("rows_per_state", [10_000, 4])
+def test_reduce_equals_the_whole_groups_and_spreads_a_hot_one(spark, rows_per_state):
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 == 0 else f"g{i % 40}", float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(24)
+    seen = spark.sparkContext.accumulator(0)
+
+    def summarize(group):
+        return pd.DataFrame({"n": [len(group)], "total": [group["v"].sum()], "top": [group["v"].max()]})
+
+    def merge(states):
+        seen.add(1 if len(states) > max(rows_per_state, 24) else 0)
+        return pd.DataFrame({"n": [states["n"].sum()], "total": [states["total"].sum()], "top": [states["top"].max()]})
+
+    def finish(state):
+        return pd.DataFrame({"mean": state["total"] / state["n"], "top": state["top"]})
+
+    found = grouped_reduce(
+        df, ["k"], "n long, total double, top double", summarize, merge, finish, "mean double, top double", rows_per_state
+    )
+    whole = df.groupBy("k").agg(F.avg("v").alias("mean"), F.max("v").alias("top"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert seen.value == 0
+    assert grouped_reduce(df.limit(0), ["k"], "n long, total double, top double", summarize, merge).count() == 0
+
+
+def test_wide_statistics_are_not_broadcast(spark):
+    df = spark.range(4000).selectExpr("id % 50 AS k", "CAST(id AS DOUBLE) AS v")
+    per = per_group(df, ["k"], {"all_values": F.collect_list("v")})
+    wide = attach(df, per, ["k"], broadcast_bytes=20_000)
+    assert wide.where(F.size("all_values") != 80).isEmpty()
+    assert per.agg(F.sum(stored_bytes(per, "all_values"))).first()[0] > 20_000
+    narrow = per_group(df, ["k"], {"top": F.max("v")})
+    assert "BroadcastHashJoin" in attach(df, narrow, ["k"], broadcast_bytes=20_000)._jdf.queryExecution().sparkPlan().toString()
