@@ -31,7 +31,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +43,9 @@ from tabloom.sources.shared import materialize
 WORDS = 4
 ENTRIES = 64
 SIMILARITY = 0.8
-BLOCK_TEXTS = 512
+BLOCK_TEXTS = 2048
+#: Words are counted in so many bags; texts whose counts differ too much can't be similar.
+BAGS = 256
 SEED = 11
 
 _WHITE = np.zeros(256, dtype=bool)
@@ -103,12 +104,14 @@ class Sketcher:
         seen[order] = at - np.maximum.accumulate(np.where(first, at, 0))
         return _mixed(kmers + seen * np.uint64(_INVERSE))
 
-    def sketch(self, text: str) -> tuple[list[int], int]:
-        """The sketch and the number of words."""
+    def sketch(self, text: str) -> tuple[list[int], int, bytes]:
+        """The sketch, the number of words, and how many words fall into each bag."""
         hashes = self.word_hashes(text)
         labels = self.labelled(hashes)
         if not len(labels):
-            return [], 0
+            return [], 0, bytes(2 * BAGS)
+        bags = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % BAGS, minlength=BAGS)
+        bags = np.minimum(bags, 65535).astype(np.uint16).tobytes()
         ranks = (labels[None, :] ^ self.xor) * self.odd
         ranks ^= ranks >> np.uint64(32)
         entry = np.arange(len(ranks))
@@ -119,7 +122,7 @@ class Sketcher:
             second = ranks.argmin(axis=1)
         early, late = labels[np.minimum(first, second)], labels[np.maximum(first, second)]
         keys = _mixed(_mixed(early * np.uint64(_BASE) + late) + entry.astype(np.uint64))
-        return keys.view(np.int64).tolist(), len(hashes)
+        return keys.view(np.int64).tolist(), len(hashes), bags
 
 
 def word_ids(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -178,7 +181,7 @@ def digest(text: str) -> Column:
 
 
 def sketches(df: DataFrame, key: str, text: str, entries: int, words: int) -> DataFrame:
-    """(key, digest, sketch, size) of every row, ``size`` being the number of words."""
+    """(key, digest, sketch, size, bags) of every row, ``size`` being the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(entries, words)
@@ -188,28 +191,39 @@ def sketches(df: DataFrame, key: str, text: str, entries: int, words: int) -> Da
                 [
                     batch.column("key"),
                     batch.column("digest"),
-                    pa.array([sketch for sketch, _ in found], pa.list_(pa.int64())),
-                    pa.array([size for _, size in found], pa.int64()),
+                    pa.array([sketch for sketch, _, _ in found], pa.list_(pa.int64())),
+                    pa.array([size for _, size, _ in found], pa.int64()),
+                    pa.array([bags for _, _, bags in found], pa.binary()),
                 ],
-                ["key", "digest", "sketch", "size"],
+                ["key", "digest", "sketch", "size", "bags"],
             )
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), digest(text).alias("digest"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, digest binary, sketch array<long>, size long")
+    return rows.mapInArrow(run, f"key {kind}, digest binary, sketch array<long>, size long, bags binary")
+
+
+def _bags(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(-1, BAGS).astype(np.int32)
 
 
 def verify(pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` (a, b, text_a, text_b) that are similar enough."""
+    """The pairs (a, b) of ``pairs`` (a, b, and text, size and bags of both) that are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, two in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b")):
+            # An edit changes the counts of two bags by one at most.
+            one, two = (_bags(batch.column(c).to_pylist()) for c in ("bags_a", "bags_b"))
+            apart = np.abs(one - two).sum(axis=1)
+            longer = np.maximum(*(batch.column(c).to_numpy() for c in ("size_a", "size_b")))
+            near = apart <= 2 * (longer * (1 - similarity) + 1e-9).astype(int)
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            texts = [batch.column(c) for c in ("text_a", "text_b")]
+            for at in np.flatnonzero(near).tolist():
                 known: dict[bytes, int] = {}
-                a, b = word_ids(one, known), word_ids(two, known)
-                keep.append(similar(a, b, similarity, max(len(known), 1)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                a, b = (word_ids(column[at].as_py(), known) for column in texts)
+                keep[at] = similar(a, b, similarity, max(len(known), 1))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -238,60 +252,140 @@ class Common:
         return np.bincount(self.texts_of[places], minlength=self.n)
 
 
-def compare_block(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Edges that join classes among the texts of an entry and length (or of two of their blocks)."""
-    crossing = int(frame["first"].iat[0]) != int(frame["second"].iat[0])
-    frame = frame.sort_values("node", ignore_index=True)
-    nodes, entry = frame["node"].to_numpy(), int(frame["entry"].iat[0])
-    lengths, visitor, block = (frame[c].to_numpy() for c in ("size", "visitor", "block"))
-    label = frame["class"].factorize()[0]
-    known: dict[bytes, int] = {}
-    own = [set(x) for x in frame["entries"]]
-    texts: list[np.ndarray] = []
-    edges = []
-    for i in range(len(nodes) - 1):
-        rest = np.arange(i + 1, len(nodes))
-        longer = np.maximum(lengths[rest], lengths[i])
-        limit = (longer * (1 - similarity) + 1e-9).astype(int)
-        ok = (label[rest] != label[i]) & (np.abs(lengths[rest] - lengths[i]) <= limit) & ~(visitor[rest] & visitor[i])
-        if crossing:
-            ok &= block[rest] != block[i]
-        # A pair is compared in the first entry that both have.
-        ok[ok] = [min(own[i] & own[j]) == entry for j in rest[ok]]
-        if not ok.any():
-            continue
-        if not texts:
-            texts = [word_ids(text, known) for text in frame["text"]]
-            base = max(len(known), 1)
-            words = Common([occurrences(text, base) for text in texts])
-            pairs = Common([occurrences(word_pairs(text, base), base * base) for text in texts])
-        ok[ok] = pairs.with_text(i)[rest[ok]] >= least_pairs(longer, limit)[ok]
-        if ok.any():
-            ok[ok] = words.with_text(i)[rest[ok]] >= least_words(longer, limit)[ok]
-        for j, most in zip(rest[ok].tolist(), limit[ok].tolist()):
-            if label[i] != label[j] and distance_within(texts[i], texts[j], most) is not None:
-                edges.append((nodes[i], nodes[j]))
-                label[label == label[j]] = label[i]
-    return pd.DataFrame(edges, columns=["a", "b"])
+class Block:
+    """The texts of an entry and length, or of two of their blocks, in the order of their nodes."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.entry, self.crossing = rows.column("entry")[0].as_py(), rows.column("first")[0] != rows.column("second")[0]
+        self.nodes, self.lengths, self.block, self.label = (
+            rows.column(c).to_numpy() for c in ("node", "size", "block", "class")
+        )
+        self.visitor = rows.column("visitor").to_numpy(zero_copy_only=False)
+        self.rows = rows
+
+    def candidates(self, similarity: float) -> list[tuple[int, np.ndarray]]:
+        """What lengths, classes and counts of words in bags allow, without a look at the texts."""
+        n, found, own = len(self.nodes), [], {}
+        bags = _bags(self.rows.column("bags").to_pylist())
+
+        def entries(i: int) -> set[int]:
+            if i not in own:
+                own[i] = set(self.rows.column("entries")[i].as_py())
+            return own[i]
+
+        for i in range(n - 1):
+            limit = (np.maximum(self.lengths[i + 1 :], self.lengths[i]) * (1 - similarity) + 1e-9).astype(np.int64)
+            ok = (self.label[i + 1 :] != self.label[i]) & (np.abs(self.lengths[i + 1 :] - self.lengths[i]) <= limit)
+            ok &= ~(self.visitor[i + 1 :] & self.visitor[i])
+            if self.crossing:
+                ok &= self.block[i + 1 :] != self.block[i]
+            rest = np.flatnonzero(ok)
+            if len(rest):
+                # An edit changes the counts of two bags by one at most.
+                apart = np.abs(bags[i + 1 + rest] - bags[i]).sum(axis=1)
+                rest = i + 1 + rest[apart <= 2 * limit[rest]]
+                # A pair is compared in the first entry that both have.
+                rest = rest[[min(entries(i) & entries(j)) == self.entry for j in rest.tolist()]] if len(rest) else rest
+                if len(rest):
+                    found.append((i, rest))
+        return found
+
+    def edges(self, similarity: float) -> list[tuple[int, int]]:
+        """Links that join classes."""
+        left = self.candidates(similarity)
+        if not left:
+            return []
+        used = sorted({i for i, _ in left}.union(*(rest.tolist() for _, rest in left)))
+        place = {i: at for at, i in enumerate(used)}
+        known: dict[bytes, int] = {}
+        texts = [word_ids(self.rows.column("text")[i].as_py(), known) for i in used]
+        base = max(len(known), 1)
+        words = Common([occurrences(text, base) for text in texts])
+        pairs = Common([occurrences(word_pairs(text, base), base * base) for text in texts])
+        label, edges = self.label.copy(), []
+        for i, rest in left:
+            others = rest[label[rest] != label[i]]
+            if not len(others):
+                continue
+            at = np.asarray([place[j] for j in others.tolist()])
+            longer = np.maximum(self.lengths[others], self.lengths[i])
+            limit = (longer * (1 - similarity) + 1e-9).astype(np.int64)
+            ok = pairs.with_text(place[i])[at] >= least_pairs(longer, limit)
+            if ok.any():
+                ok &= words.with_text(place[i])[at] >= least_words(longer, limit)
+            for j, most in zip(others[ok].tolist(), limit[ok].tolist()):
+                if label[i] != label[j] and distance_within(texts[place[i]], texts[place[j]], most) is not None:
+                    edges.append((int(self.nodes[i]), int(self.nodes[j])))
+                    label[label == label[j]] = label[i]
+        return edges
+
+
+BLOCK_KEY = ["entry", "g", "first", "second"]
+
+
+def block_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) of all blocks. Blocks come one after the other, most of them with a few texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []  # rows of a block that may go on in the next batch
+
+        def linked(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            found = Block(pa.concat_batches(parts)).edges(similarity) if sum(p.num_rows for p in parts) > 1 else []
+            return pa.RecordBatch.from_pydict(
+                {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in BLOCK_KEY], axis=1)
+            if waiting and [waiting[0].column(c)[0].as_py() for c in BLOCK_KEY] != keys[0].tolist():
+                yield linked(waiting)
+                waiting = []
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if start:
+                    yield linked(waiting)
+                    waiting = []
+                waiting.append(batch.slice(start, end - start))
+        if waiting:
+            yield linked(waiting)
+
+    dealt = rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "node")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, block_texts: int) -> DataFrame:
     """Rows (entry, g, first, second, block, visitor, node, size, class): what is to be compared with what.
 
-    A group ``g`` of an entry has the texts of one range of lengths and, as visitors, those of the next longer one;
-    lengths that allow a link are in the same range or in neighbouring ones.
+    An entry of more than a block has a group ``g`` for each range of lengths, with the texts of the next longer one
+    as visitors; lengths that allow a link are in the same range or in neighbouring ones. Others are one group.
     """
-    step = -math.log(similarity) * 1.0001
-    placed = (
+    labelled = materialize(
         grouped.join(classes.withColumnRenamed("vertex", "node"), "node", "left")
         .select("entry", "node", "size", F.coalesce("component", "node").alias("class"))
-        .withColumn("visitor", F.explode(F.array(F.lit(False), F.lit(True))))
-        .withColumn("g", F.floor(F.log("size") / step) - F.col("visitor").cast("long"))
+    )
+    opened = (
+        labelled.groupBy("entry")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low <> high").select("entry", "n")
+    )
+    step = -math.log(similarity) * 1.0001
+    several = F.col("n") > block_texts
+    roles = F.when(several, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    range_of = F.when(several, F.floor(F.log("size") / step)).otherwise(F.lit(0).cast("long"))
+    placed = (
+        labelled.join(materialize(opened), "entry")
+        .withColumn("visitor", F.explode(roles))
+        .withColumn("g", range_of - F.col("visitor").cast("long"))
+        .drop("n")
     )
     placed = materialize(placed)
     counts = placed.groupBy("entry", "g", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.sum((~F.col("visitor")).cast("long")).alias("home")
-    )
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("visitor")).cast("long")).alias("home"),
+        F.min("size").alias("least"), F.max("size").alias("most"),
+    )
+    counts = materialize(counts)
     groups = (
         counts.groupBy("entry", "g")
         .agg(
@@ -305,14 +399,19 @@ def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, bloc
         F.ceil(F.col("major.n") / block_texts).alias("majors"),
         F.ceil((F.col("n") - F.col("major.n")) / block_texts).alias("others"),
     )
+    # A text of the largest class is needed only where the lengths of the others allow a link.
+    lengths = counts.join(groups, ["entry", "g"]).where("class <> major").groupBy("entry", "g")
+    groups = groups.join(lengths.agg(F.min("least").alias("least"), F.max("most").alias("most")), ["entry", "g"])
     # The largest class has the first blocks and is compared with the others only.
     blocks = F.col("majors") + F.col("others")
     spread = F.xxhash64("node", F.lit(SEED))
     major = F.col("class") == F.col("major")
     block = F.when(major, F.pmod(spread, "majors")).otherwise(F.col("majors") + F.pmod(spread, "others"))
     other = F.sequence(F.when(major, F.col("majors")).otherwise(F.lit(0).cast("long")), blocks - 1)
+    near = (F.col("size") >= similarity * F.col("least") - 1e-6) & (similarity * F.col("size") <= F.col("most") + 1e-6)
     return (
         placed.join(materialize(groups), ["entry", "g"])
+        .where(~major | near)
         .withColumn("block", block)
         .withColumn("other", F.explode(other))
         .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
@@ -333,8 +432,9 @@ def near_duplicates(
     members = materialize(sketches(df, key, text, entries, words).withColumn("row", F.monotonically_increasing_id()))
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
     distinct = members.groupBy("digest").agg(
-        F.min("row").alias("node"), F.min(order).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
-    )
+        F.min("row").alias("node"), F.min(order).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
+        F.first("bags").alias("bags"),
+    )
     distinct = materialize(distinct)
     entry = distinct.select("node", "size", F.explode(F.array_distinct("sketch")).alias("entry"))
     shared = entry.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("leader"))
@@ -349,24 +449,22 @@ def near_duplicates(
     stars = materialize(pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct())
     # A text is fetched from one row, that with the least key, so copies stay where they are.
     wanted = distinct.join(grouped.select("node").distinct(), "node", "left_semi").select(
-        F.col("digest").alias("d"), F.col("least.key").alias("k"), "node"
+        F.col("digest").alias("d"), F.col("least.key").alias("k"), "node", F.col("size").alias("s"), F.col("bags").alias("b")
     )
     bodies = df.select(F.col(key).alias("key"), digest(text).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
-    found = bodies.join(materialize(wanted).hint("merge"), same).groupBy("node").agg(F.first("text").alias("text"))
+    found = bodies.join(materialize(wanted).hint("merge"), same).groupBy("node").agg(
+        F.first("text").alias("text"), F.first("s").alias("size"), F.first("b").alias("bags")
+    )
     texts = materialize(found)
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    side = lambda c: texts.select(*[F.col(n).alias(c if n == "node" else f"{n}_{c}") for n in texts.columns])
     star_edges = materialize(verify(stars.join(side("a"), "a").join(side("b"), "b"), similarity))
     classes = components(star_edges)
 
     # Entries whose texts are still in several classes.
     blocked = materialize(_open_blocks(grouped, classes, similarity, block_texts))
     own = blocked.groupBy("node").agg(F.collect_set("entry").alias("entries"))  # as many as a sketch has at most
-    block_edges = (
-        blocked.join(texts.join(own, "node"), "node")
-        .groupBy("entry", "g", "first", "second")
-        .applyInPandas(lambda frame: compare_block(frame, similarity), "a long, b long")
-    )
+    block_edges = block_links(blocked.join(texts.drop("size").join(own, "node"), "node"), similarity)
     linked = components(star_edges.unionByName(materialize(block_edges)))
 
     nodes = distinct.select("digest", "node").join(linked.withColumnRenamed("vertex", "node"), "node", "left")
