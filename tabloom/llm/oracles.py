@@ -26,6 +26,7 @@ templates AS (
 shared AS (SELECT n, head, pattern FROM templates GROUP BY ALL HAVING sum(texts) >= 5),
 recurring AS (
  SELECT masked FROM counts WHERE texts >= 5
+  AND n - (length(masked) - length(replace(masked, '<*>', ''))) // 3 >= CAST(0.7 AS DOUBLE) * n
  UNION SELECT t.masked FROM templates t JOIN shared USING (n, head, pattern)),
 marked AS (SELECT *, n >= 3 AND masked IN (SELECT masked FROM recurring) AS gone FROM parsed),
 cut AS (

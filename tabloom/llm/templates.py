@@ -47,6 +47,12 @@ def _tokens(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _solid(masked: Column, constant: float) -> Column:
+    """Whether enough tokens of a masked line are constants."""
+    fields = (F.length(masked) - F.length(F.replace(masked, F.lit(FIELD), F.lit("")))) / len(FIELD)
+    return _tokens(masked) - fields >= constant * _tokens(masked)
+
+
 def _leaf(line: Column) -> Column:
     return F.xxhash64(_tokens(line), _masked(F.substring_index(line, " ", LEADING)))
 
@@ -75,17 +81,19 @@ def recurring_lines(
     lines = _lines(df, text, min_tokens)
     hashed = materialize(
         lines.select(
-            "_t_text", _leaf(F.col("_t_line")).alias("_t_leaf"), F.xxhash64(_masked(F.col("_t_line"))).alias("_t_hash")
+            "_t_text", _leaf(F.col("_t_line")).alias("_t_leaf"), F.xxhash64(_masked(F.col("_t_line"))).alias("_t_hash"),
+            _solid(_masked(F.col("_t_line")), constant).alias("_t_solid"),
         ).distinct()
-    )
-    counts = hashed.groupBy("_t_leaf", "_t_hash").agg(F.count(F.lit(1)).alias("texts"))
+    )
+    counts = hashed.groupBy("_t_leaf", "_t_hash", "_t_solid").agg(F.count(F.lit(1)).alias("texts"))
     per_leaf = counts.groupBy("_t_leaf").agg(
         F.sum("texts").alias("texts"),
         F.sum(F.when(F.col("texts") < min_texts, F.col("texts"))).alias("rare"),
     )
     # Leaves in which several rare lines may share a template.
     live = materialize(per_leaf.where((F.col("texts") >= min_texts) & F.col("rare").isNotNull()).select("_t_leaf"))
-    often = counts.where(F.col("texts") >= min_texts).select("_t_hash")
+    # Lines that are alike only as they are nearly all variable fields are no template.
+    often = counts.where((F.col("texts") >= min_texts) & F.col("_t_solid")).select("_t_hash")
 
     # Distinct masked lines of those leaves, with their number of texts.
     parsed = (

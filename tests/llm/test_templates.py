@@ -1,3 +1,5 @@
+import random
+
 from tabloom.llm import templates
 
 from .common import ODD, documents, prose
@@ -50,3 +52,15 @@ def test_odd_rows(spark):
     assert {(r["count"], r.n_dropped) for r in rows} == {("theirs", 0)}
     assert {r.n_lines for r in rows if r.text is None} == {0}
     assert templates.drop_templates(docs.limit(0)).count() == 0
+
+
+def test_lines_of_numbers_stay(spark):
+    draw = random.Random(9)
+    lines = [[" ".join(f"{draw.uniform(0, 99):.1f}" for _ in range(3)) for _ in range(6)] for _ in range(10)]
+    rows = [(i, "\n".join([prose(i, 40), *own])) for i, own in enumerate(lines)]
+    rows += [(100 + i, f"{prose(500 + i, 60)}\nthis notice number {i} stands in every one of them") for i in range(8)]
+    found = {r.doc_id: r for r in templates.drop_templates(documents(spark, rows)).collect()}
+    for i, text in rows[:10]:
+        assert found[i].text == text and found[i].n_dropped == 0
+    for i, text in rows[10:]:
+        assert found[i].n_dropped == 1 and "notice" not in found[i].text
