@@ -93,6 +93,39 @@ def impute_pooled_one_tree(spark, sf_dir):
     return _ages(spark, sf_dir, "pooled_forest", CELL, trees=1, subset="all")
 
 
+@query("impute_level_cells", CELL_AGES_SQL)
+def impute_level_cells(spark, sf_dir):
+    return _ages(spark, sf_dir, "level_forest", CELL, subset="all")
+
+
+# As many groups as tickets. Fares of every third passenger are missing; where no known fare of the ticket has the flag
+# of the passenger, the tree has not split.
+TICKET_FARE = "CASE WHEN PassengerId % 3 <> 0 THEN Fare END"
+
+
+@query(
+    "impute_ticket_forests",
+    with_p(
+        """SELECT PassengerId, Ticket, round(coalesce(k.Fare, s.mean, t.mean, (SELECT avg(Fare) FROM k)), 6) AS Fare
+ FROM k LEFT JOIN s USING (Ticket, Sex) LEFT JOIN t USING (Ticket)""",
+        f"k AS (SELECT PassengerId, Ticket, Sex, {TICKET_FARE} AS Fare FROM p)",
+        "s AS (SELECT Ticket, Sex, avg(Fare) AS mean FROM k GROUP BY ALL)",
+        "t AS (SELECT Ticket, avg(Fare) AS mean FROM k GROUP BY ALL)",
+    ),
+)
+def impute_ticket_forests(spark, sf_dir):
+    df = passengers(spark, sf_dir).select(
+        "PassengerId", "Ticket", F.expr(TICKET_FARE).alias("Fare"), (F.col("Sex") == "female").cast("int").alias("flag")
+    )
+    filled = grouped_impute(df, ["Ticket"], "Fare", ["flag"], "level_forest", subset="all")
+    return rounded(filled.select("PassengerId", "Ticket", "Fare"), ["Fare"])
+
+
+@query("impute_level_forest")
+def impute_level_forest(spark, sf_dir):
+    return _ages(spark, sf_dir, "level_forest", DUMMIES)
+
+
 # A field NaN is a missing age like a null one.
 NAN_AGES = "CASE WHEN PassengerId % 3 = 0 THEN CAST('NaN' AS DOUBLE) ELSE Age END"
 NAN_KNOWN = "CASE WHEN PassengerId % 3 <> 0 THEN Age END"

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import BROADCAST_BYTES, KEY, ROWS, attach
+from tabloom.operators.group_forest import fill_by_group_forests
 from tabloom.operators.ranks import grouped_quantiles
 from tabloom.sources.shared import materialize, new_path, spread, training_table
 
@@ -293,6 +294,9 @@ def grouped_impute(
     the others; each fit is spread over the cluster, ``parallelism`` groups at a time, however many
     groups there are. Trees differ by the features tried at each split (``subset``); with
     ``bootstrap`` by resampled rows as well, in groups of any size.
+    ``level_forest`` grows the forests of all groups together, a level at a time, in a number of jobs that does not
+    depend on the number of groups: the one to take for more than some dozens. It cuts features at quantiles of their
+    group and has no ``bootstrap``.
     ``pooled_forest`` is one forest for all rows, in which the group is present as the mean of its
     known targets; it takes one fit instead of one per group. ``mean`` and ``median`` need no features.
     A group without a known target gets the mean (or median) of all known targets.
@@ -303,10 +307,16 @@ def grouped_impute(
         return _impute_mean(df, by, target, broadcast_bytes)
     if strategy == "median":
         return _impute_median(df, by, target, broadcast_bytes)
-    if strategy not in ("forest", "pooled_forest"):
+    if strategy not in ("forest", "level_forest", "pooled_forest"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if not features:
         raise ValueError(f"the strategy {strategy} needs features")
+    if strategy == "level_forest":
+        if bootstrap:
+            raise ValueError("a level_forest does not resample rows")
+        return fill_by_group_forests(
+            df, by, target, features, seed, trees, depth, subset, broadcast_bytes=broadcast_bytes
+        )
     options = {"seed": seed, "trees": trees, "depth": depth, "bootstrap": bootstrap, "subset": subset}
     if strategy == "forest":
         return _impute_forest(df, by, target, features, options, parallelism, broadcast_bytes)
