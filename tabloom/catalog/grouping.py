@@ -98,27 +98,27 @@ def impute_level_cells(spark, sf_dir):
     return _ages(spark, sf_dir, "level_forest", CELL, subset="all")
 
 
-# As many groups as tickets. Fares of every third passenger are missing; where no known fare of the ticket has the flag
+# As many groups as tickets. Prices of every third passenger are missing; where no known price of the ticket has the flag
 # of the passenger, the tree has not split.
-TICKET_FARE = "CASE WHEN PassengerId % 3 <> 0 THEN Fare END"
+TICKET_PRICE = "CASE WHEN PassengerId % 3 <> 0 THEN Fare * 10000 END"
 
 
 @query(
     "impute_ticket_forests",
     with_p(
-        """SELECT PassengerId, Ticket, round(coalesce(k.Fare, s.mean, t.mean, (SELECT avg(Fare) FROM k)), 6) AS Fare
+        """SELECT PassengerId, Ticket, round(coalesce(k.Price, s.mean, t.mean, (SELECT avg(Price) FROM k)), 6) AS Price
  FROM k LEFT JOIN s USING (Ticket, Sex) LEFT JOIN t USING (Ticket)""",
-        f"k AS (SELECT PassengerId, Ticket, Sex, {TICKET_FARE} AS Fare FROM p)",
-        "s AS (SELECT Ticket, Sex, avg(Fare) AS mean FROM k GROUP BY ALL)",
-        "t AS (SELECT Ticket, avg(Fare) AS mean FROM k GROUP BY ALL)",
+        f"k AS (SELECT PassengerId, Ticket, Sex, {TICKET_PRICE} AS Price FROM p)",
+        "s AS (SELECT Ticket, Sex, avg(Price) AS mean FROM k GROUP BY ALL)",
+        "t AS (SELECT Ticket, avg(Price) AS mean FROM k GROUP BY ALL)",
     ),
 )
 def impute_ticket_forests(spark, sf_dir):
     df = passengers(spark, sf_dir).select(
-        "PassengerId", "Ticket", F.expr(TICKET_FARE).alias("Fare"), (F.col("Sex") == "female").cast("int").alias("flag")
+        "PassengerId", "Ticket", F.expr(TICKET_PRICE).alias("Price"), (F.col("Sex") == "female").cast("int").alias("flag")
     )
-    filled = grouped_impute(df, ["Ticket"], "Fare", ["flag"], "level_forest", subset="all")
-    return rounded(filled.select("PassengerId", "Ticket", "Fare"), ["Fare"])
+    filled = grouped_impute(df, ["Ticket"], "Price", ["flag"], "level_forest", subset="all")
+    return rounded(filled.select("PassengerId", "Ticket", "Price"), ["Price"])
 
 
 @query("impute_level_forest")
