@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators.evaluate import accuracy, area_under_roc, confidence
@@ -17,7 +18,7 @@ from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
 from tabloom.operators.split import Key, hash_split
 from tabloom.operators.tuning import Search, cross_validate
 from tabloom.schemas import COMPARISON_SCHEMA, FEATURES, TARGET
-from tabloom.sources.shared import materialize, training_table
+from tabloom.sources.shared import materialize, training_table, written
 
 # The models of the comparison in order, and the title of a searched one.
 COMPARED = ("logistic", "random_forest", "gbt", "decision_tree", "mlp", "naive_bayes")
@@ -49,6 +50,45 @@ def train_and_test(
     return train, test
 
 
+@dataclass(frozen=True)
+class _Step:
+    """A fitted model, its scored test rows, and what else is known of it."""
+
+    model: PipelineModel
+    scored: DataFrame
+    facts: dict
+
+
+def _kept(spark: SparkSession, folder: str, meaning: str | None, fit: Callable[[], _Step]) -> _Step:
+    """The step stored in ``folder``, or else a new one, which is stored there; its facts are written last.
+
+    ``meaning`` says what the step was made from; facts of another meaning are an error. Without one only the
+    scored rows are stored.
+    """
+    facts = f"{folder}/facts"
+    if meaning and written(spark, facts):
+        row = spark.read.schema("meaning string, facts string").parquet(facts).first()
+        if row["meaning"] != meaning:
+            raise ValueError(f"{folder} holds the model of other rows or parameters: {row['meaning']}, not {meaning}")
+        scored = spark.read.parquet(f"{folder}/scored")
+        return _Step(PipelineModel.load(f"{folder}/model"), scored, json.loads(row["facts"]))
+    step = fit()
+    if not meaning:
+        return _Step(step.model, materialize(step.scored), step.facts)
+    step.model.write().overwrite().save(f"{folder}/model")
+    step.scored.write.mode("overwrite").parquet(f"{folder}/scored")
+    row = spark.createDataFrame([(meaning, json.dumps(step.facts))], "meaning string, facts string")
+    row.coalesce(1).write.mode("overwrite").parquet(facts)
+    return _Step(step.model, spark.read.schema(step.scored.schema).parquet(f"{folder}/scored"), step.facts)
+
+
+def _rows_digest(df: DataFrame) -> str:
+    """A number for the rows of ``df`` that doesn't depend on their order."""
+    hashed = F.pmod(F.xxhash64(*df.columns), F.lit(2**31))
+    found = df.agg(F.count("*").alias("n"), F.sum(hashed).alias("hashes")).first()
+    return f"{found['n']}:{found['hashes']}"
+
+
 def compare_models(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,6 +101,7 @@ def compare_models(
     seed: int = 1,
     parallelism: int = 8,
     keep_submodels: bool = False,
+    store: str | None = None,
 ) -> Comparison:
     """Fit every model with its standard parameters and, if it has a grid, with the best of that grid.
 
@@ -68,40 +109,66 @@ def compare_models(
     on, in each fold anew. Every model scores the test rows once; label, score, prediction and
     confidence are stored, and all metrics come from there. A metric that is not measured for a model
     is null. ``searches`` has the fitted searches, with their sub-models if ``keep_submodels``.
+
+    Each finished step (a plain model, or a search) keeps its model, its scored test rows and its facts in a folder
+    below ``store``. A later call with the same rows and parameters goes on from there, also in another application, and may
+    ask for more models; one with others raises. Sub-models aren't stored. Without ``store`` nothing outlasts the
+    application's tables.
     """
+    if store and keep_submodels:
+        raise ValueError("sub-models are not stored")
+    spark = df.sparkSession
     key = list(keys)
+    folder = (store or "").rstrip("/")
     split = hash_split(df, (0.7, 0.3), seed, key)
     train, test = [training_table(to_label(part, target, features, key)) for part in split]
     stages = feature_pipeline(features).getStages()
+    digests = [_rows_digest(part) for part in (train, test)] if store else []
     rows, confidences, searches = [], [], {}
 
-    def record(title, spec, predictions, parameters):
+    def scored_rows(predictions):
         has_probability = "probability" in predictions.columns
         vector = "probability" if has_probability else "rawPrediction" if "rawPrediction" in predictions.columns else None
         score = vector_to_array(vector)[1] if vector else F.lit(None).cast("double")
         chosen = confidence() if has_probability else F.lit(None).cast("double")
-        scored = materialize(
-            predictions.select("label", "prediction", score.alias("score"), chosen.alias("confidence"))
-        )
-        area = area_under_roc(scored).first()["auc"] if "auc" in spec.measures else None
-        right = accuracy(scored).first()["accuracy"] if "accuracy" in spec.measures else None
+        scored = predictions.select("label", "prediction", score.alias("score"), chosen.alias("confidence"))
+        return scored, {"has_probability": has_probability}
+
+    def record(title, spec, step, parameters):
+        area = area_under_roc(step.scored).first()["auc"] if "auc" in spec.measures else None
+        right = accuracy(step.scored).first()["accuracy"] if "accuracy" in spec.measures else None
         rows.append((title, area, right, parameters))
-        if has_probability:
-            confidences.append(scored.select(F.lit(title).alias("model"), "confidence"))
+        if step.facts["has_probability"]:
+            confidences.append(step.scored.select(F.lit(title).alias("model"), "confidence"))
+
+    def plain(name, spec):
+        estimator = spec.build(len(features), classes, seed)
+        model, predictions = fit_predict(Pipeline(stages=[*stages, estimator]), train, test)
+        return _Step(model, *scored_rows(predictions))
 
+    def searched(name, spec, grid):
+        found = cross_validate(
+            spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages
+        )
+        searches[name] = found
+        scored, facts = scored_rows(found.model.transform(test))
+        search = {c: getattr(found, c) for c in ("maps", "metrics", "best", "parameters", "fits")}
+        return _Step(found.model, scored, facts | {"search": search})
+
+    common = {"rows": digests, "features": list(features), "classes": classes, "seed": seed}
     for name in models:
         spec = CLASSIFIERS[name]
-        estimator = spec.build(len(features), classes, seed)
-        _, predictions = fit_predict(Pipeline(stages=[*stages, estimator]), train, test)
-        record(spec.title, spec, predictions, STANDARD)
+        meaning = json.dumps(common, sort_keys=True) if store else None
+        step = _kept(spark, f"{folder}/{name}-plain", meaning, lambda: plain(name, spec))
+        record(spec.title, spec, step, STANDARD)
         grid = (grids or {}).get(name, spec.grid)
         if grid is None:
             continue
-        searches[name] = cross_validate(
-            spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages
-        )
-        predictions = searches[name].model.transform(test)
-        record(SEARCHED_TITLE.format(spec.title), spec, predictions, searches[name].parameters)
-    spark = df.sparkSession
+        of_search = {"grid": {k: list(v) for k, v in grid.items()}, "folds": folds, "key": key}
+        meaning = json.dumps(common | of_search, sort_keys=True) if store else None
+        step = _kept(spark, f"{folder}/{name}-searched", meaning, lambda: searched(name, spec, grid))
+        if name not in searches:
+            searches[name] = Search(model=step.model, **step.facts["search"])
+        record(SEARCHED_TITLE.format(spec.title), spec, step, searches[name].parameters)
     none = spark.createDataFrame([], "model string, confidence double")
     return Comparison(spark.createDataFrame(rows, COMPARISON_SCHEMA), reduce(DataFrame.unionByName, confidences, none), searches)

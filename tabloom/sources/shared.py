@@ -44,6 +44,12 @@ def new_path(spark: SparkSession) -> str:
     return f"{application_folder(spark)}/table-{uuid.uuid4().hex}"
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written ``path`` to its end."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"), "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def remove_tables(spark: SparkSession) -> bool:
     """Delete the tables that this application has stored; call it once no result needs them."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))

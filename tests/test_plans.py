@@ -111,3 +111,49 @@ def test_comparison_takes_any_grid_and_may_be_empty(people):
     assert found.confidences.isEmpty()
     assert [len(models) for models in found.searches["svc"].submodels] == [2, 2]
     assert compare_models(people, ["PassengerId"], []).table.isEmpty()
+
+
+def test_interrupted_comparison_goes_on_from_its_store(spark, people, tmp_path, monkeypatch):
+    from tabloom.plans import compare
+
+    fits = []
+
+    def counted(name, stop_at=None):
+        real = getattr(compare, name)
+
+        def run(*args, **options):
+            if len(fits) == stop_at:
+                raise RuntimeError("lost")
+            fits.append(name)
+            return real(*args, **options)
+
+        return run
+
+    models = ["logistic", "naive_bayes", "decision_tree"]
+    options = {"grids": {"logistic": {"maxIter": [2, 4]}, "decision_tree": {"maxDepth": [2]}}, "folds": 2}
+    with monkeypatch.context() as patch:
+        for name in ("fit_predict", "cross_validate"):
+            patch.setattr(compare, name, counted(name, stop_at=3))
+        with pytest.raises(RuntimeError, match="lost"):
+            compare_models(people, ["PassengerId"], models, store=f"{tmp_path}/s", **options)
+    assert fits == ["fit_predict", "cross_validate", "fit_predict"]
+    fits.clear()
+    for name in ("fit_predict", "cross_validate"):
+        monkeypatch.setattr(compare, name, counted(name))
+    found = compare_models(people.repartition(3), ["PassengerId"], models, store=f"{tmp_path}/s", **options)
+    assert fits == ["fit_predict", "cross_validate"]
+    fresh = compare_models(people, ["PassengerId"], models, **options)
+    assert found.table.collect() == fresh.table.collect()
+    assert sorted(found.confidences.collect()) == sorted(fresh.confidences.collect())
+    for name, search in fresh.searches.items():
+        stored = found.searches[name]
+        assert (stored.maps, stored.metrics, stored.best, stored.fits) == (
+            search.maps,
+            search.metrics,
+            search.best,
+            search.fits,
+        )
+    with pytest.raises(ValueError, match="other rows or parameters"):
+        compare_models(people, ["PassengerId"], models, store=f"{tmp_path}/s", **options | {"seed": 2})
+    with pytest.raises(ValueError, match="other rows or parameters"):
+        compare_models(people.where("Age < 40"), ["PassengerId"], models, store=f"{tmp_path}/s", **options)
