@@ -17,14 +17,14 @@ from tabloom.catalog.registry import (
     with_p,
 )
 from tabloom.functions.buckets import cabin_estimator, family_group, family_size, fare_group
-from tabloom.operators.columns import categories, one_hot
+from tabloom.operators.columns import categories, category_index, one_hot, sparse_one_hot
 from tabloom.operators.features import to_label
 from tabloom.operators.split import fold_number, part_number, random_split
 from tabloom.plans.clean import clean, encode, feature_engineering
 from tabloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, DUMMIES, FEATURES, RAW_SCHEMA
 from tabloom.sources.passengers import passengers, table
 from tabloom.sources.shared import materialize, new_path
-from tabloom.sources.tables import read_table, write_table
+from tabloom.sources.tables import read_checked, read_table, write_table
 
 def passenger_key():
     """The key as an integer, whose text is the same in every engine."""
@@ -174,6 +174,33 @@ def one_hot_query(spark, sf_dir):
     return one_hot(df, ["Sex", "family", "Embarked", "fare_group"], known, null_category=True)
 
 
+@query(
+    "category_index",
+    with_p(
+        """SELECT Ticket AS value, count(*) AS rows, row_number() OVER (ORDER BY Ticket) - 1 AS index
+ FROM p GROUP BY Ticket"""
+    ),
+)
+def category_index_query(spark, sf_dir):
+    return category_index(passengers(spark, sf_dir), "Ticket")
+
+
+@query(
+    "sparse_one_hot",
+    with_p(
+        """SELECT PassengerId, '(' || (SELECT count(*) + 3 FROM t) || ',[' || t.i
+ || CASE Embarked WHEN 'C' THEN ',' || (SELECT count(*) FROM t) WHEN 'Q' THEN ',' || (SELECT count(*) + 1 FROM t)
+ WHEN 'S' THEN ',' || (SELECT count(*) + 2 FROM t) ELSE '' END
+ || CASE WHEN Embarked IS NULL THEN '],[1.0])' ELSE '],[1.0,1.0])' END AS dummies FROM p JOIN t USING (Ticket)""",
+        "t AS (SELECT Ticket, row_number() OVER (ORDER BY Ticket) - 1 AS i FROM p GROUP BY Ticket)",
+    ),
+)
+def sparse_one_hot_query(spark, sf_dir):
+    df = passengers(spark, sf_dir).select("PassengerId", "Ticket", "Embarked")
+    found = sparse_one_hot(df, {c: category_index(df, c) for c in ("Ticket", "Embarked")})
+    return found.select("PassengerId", F.col("dummies").cast("string").alias("dummies"))
+
+
 @query("feature_engineering", with_p("SELECT * FROM f", ENGINEERED_CTE))
 def feature_engineering_query(spark, sf_dir):
     return feature_engineering(passengers(spark, sf_dir))
@@ -225,3 +252,28 @@ def random_split_query(spark, sf_dir):
 def fold_assign(spark, sf_dir):
     fold = fold_number(5, 1, passenger_key()).alias("fold")
     return passengers(spark, sf_dir).select("PassengerId", fold)
+
+
+# The same text runs in Spark SQL and in DuckDB: lines too short, too long, or with a text for a number.
+LINES_SQL = """SELECT CAST(PassengerId AS BIGINT) AS id, Sex, CAST(Age AS BIGINT) AS age, CAST(PassengerId AS BIGINT) % 10 AS kind,
+ concat(CAST(CAST(PassengerId AS BIGINT) AS VARCHAR(20)), CASE CAST(PassengerId AS BIGINT) % 10 WHEN 0 THEN '' WHEN 1 THEN concat(',', Sex, ',old')
+ ELSE concat(',', Sex, ',', coalesce(CAST(CAST(Age AS BIGINT) AS VARCHAR(20)), '')) END,
+ CASE CAST(PassengerId AS BIGINT) % 10 WHEN 2 THEN ',more' ELSE '' END) AS line FROM {p}"""
+
+
+@query(
+    "scan_checked",
+    with_p(
+        """SELECT kind > 2 AS fits, CASE WHEN kind > 2 THEN id END AS id, CASE WHEN kind > 2 THEN Sex END AS sex,
+ CASE WHEN kind > 2 THEN age END AS age, CASE WHEN kind <= 2 THEN line END AS line FROM l""",
+        f"l AS ({LINES_SQL.format(p='p')})",
+    ),
+)
+def scan_checked(spark, sf_dir):
+    path = new_path(spark)
+    lines = spark.sql(LINES_SQL, p=passengers(spark, sf_dir))
+    lines.select("line").write.text(path)
+    good, bad = read_checked(spark, path, "id bigint, sex string, age bigint", header=False)
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("id", "bigint"), ("sex", "string"), ("age", "bigint"))]
+    good = good.select(F.lit(True).alias("fits"), "*", F.lit(None).cast("string").alias("line"))
+    return good.unionByName(bad.select(F.lit(False).alias("fits"), *none, "line"))

@@ -88,6 +88,25 @@ def roc_curve(spark, sf_dir):
     return rounded(evaluate.roc_curve(_scored(spark, sf_dir)), ["threshold", "FPR", "TPR"])
 
 
+@query(
+    "roc_curve_thinned",
+    with_p(
+        """SELECT round(threshold, 6) AS threshold, round(x, 6) AS "FPR", round(y, 6) AS "TPR" FROM (
+ SELECT *, row_number() OVER (PARTITION BY floor(x * 100), floor(y * 100) ORDER BY x, y) AS up,
+ row_number() OVER (PARTITION BY floor(x * 100), floor(y * 100) ORDER BY x DESC, y DESC) AS down FROM r)
+ WHERE up = 1 OR down = 1""",
+        """c AS (SELECT Fare AS threshold, sum(Survived) AS pos, sum(1 - Survived) AS n
+ FROM p GROUP BY Fare)""",
+        """r AS (SELECT threshold, sum(n) OVER w / sum(n) OVER () AS x, sum(pos) OVER w / sum(pos) OVER () AS y
+ FROM c WINDOW w AS (ORDER BY threshold DESC)
+ UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE))""",
+    ),
+)
+def roc_curve_thinned(spark, sf_dir):
+    thinned = evaluate.thin_roc(evaluate.roc_curve(_scored(spark, sf_dir)), 100)
+    return rounded(thinned, ["threshold", "FPR", "TPR"])
+
+
 @query(
     "confidence",
     with_p(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import KEY
-from tabloom.operators.ranks import grouped_quantiles, running_counts
+from tabloom.operators.ranks import grouped_quantiles, running_counts, sketched_quantiles
 from tabloom.sources.shared import materialize
 
 # What a box in a box plot shows.
@@ -99,6 +99,22 @@ def roc_curve(
     return start.unionByName(points)
 
 
+def thin_roc(curve: DataFrame, cells: int = 1000) -> DataFrame:
+    """At most ``4 * cells + 2`` points of a ``roc_curve``, however many scores there are.
+
+    Kept are the first and the last point in each cell of a grid with ``cells`` steps a side. The curve rises, so it goes
+    through at most ``2 * cells + 1`` cells, and the area below the kept points is off by at most ``1 / (2 * cells)``.
+    Points of a curve that lacks a class have a rate that is null; they share a column or row of cells.
+    """
+    if cells < 1:
+        raise ValueError("a grid has at least one cell")
+    point, order = F.struct("threshold", "FPR", "TPR"), F.struct("FPR", "TPR")
+    ends = curve.groupBy(F.floor(F.col("FPR") * cells).alias("x"), F.floor(F.col("TPR") * cells).alias("y")).agg(
+        F.min_by(point, order).alias("first"), F.max_by(point, order).alias("last")
+    )
+    return ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("p")).select("p.*")
+
+
 def confidence(probability: Column | str = "probability") -> Column:
     """Probability of the most likely class, over however many classes there are."""
     return F.array_max(vector_to_array(probability))
@@ -109,12 +125,20 @@ def confidence_summary(
     model: str = "model",
     value: str = "confidence",
     rows_per_range: int = 1_000_000,
+    method: str = "exact",
+    rank_error: float = 1e-4,
 ) -> DataFrame:
-    """The five numbers of a box plot for each model."""
+    """The five numbers of a box plot for each model.
+
+    By ``exact`` order, or from a ``sketch`` of bounded size whose ranks are off by at most ``rank_error`` of the rows.
+    """
     names = list(BOX)
-    summary = grouped_quantiles(
-        df, [model], value, list(BOX.values()), names, rows_per_range=rows_per_range
-    )
+    if method == "sketch":
+        summary = sketched_quantiles(df, [model], value, list(BOX.values()), names, rank_error)
+    elif method == "exact":
+        summary = grouped_quantiles(df, [model], value, list(BOX.values()), names, rows_per_range=rows_per_range)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return summary.select(model, "n", *names)
 
 

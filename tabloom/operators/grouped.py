@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import BROADCAST_BYTES, KEY, ROWS, attach
 from tabloom.operators.group_forest import fill_by_group_forests
-from tabloom.operators.ranks import grouped_quantiles
+from tabloom.operators.ranks import quantiles_of_counts
 from tabloom.sources.shared import materialize, new_path, spread, training_table
 
 FILL = "fill_"
@@ -193,12 +193,18 @@ def _impute_mean(df, by, target, broadcast_bytes):
 
 
 def _impute_median(df, by, target, broadcast_bytes):
-    groups = per_group(df, by, {"known_": F.count(target)})
-    medians = grouped_quantiles(df, by, target, [0.5], [FILL]).select(KEY, FILL)
+    # One scan of the rows; everything else comes from the counts of equal values, null among them.
+    counts = materialize(
+        df.groupBy(group_key(by).alias(KEY), F.col(target).alias("value")).agg(F.count("*").alias("n"))
+    )
+    known = counts.where("value IS NOT NULL")
+    medians = quantiles_of_counts(known, by, [0.5], [FILL]).select(KEY, FILL)
+    groups = counts.groupBy(KEY).agg(F.sum("n").alias(ROWS))
     groups = materialize(groups.join(medians, KEY, "left"))
     whole = None
-    if not groups.where("known_ = 0").isEmpty():
-        row = grouped_quantiles(df, [], target, [0.5], [FILL]).first()
+    if not groups.where(F.col(FILL).isNull()).isEmpty():
+        values = known.groupBy(group_key([]).alias(KEY), "value").agg(F.sum("n").alias("n"))
+        row = quantiles_of_counts(materialize(values), [], [0.5], [FILL]).first()
         whole = row[FILL] if row else None
     groups = groups.select(KEY, ROWS, F.coalesce(FILL, F.lit(whole)).alias(FILL))
     return _fill(attach(df, groups, by, broadcast_bytes), target)

@@ -93,12 +93,23 @@ def grouped_quantiles(
     Null values do not count. The result has the key struct ``KEY``, the grouping columns, the
     number of values ``n`` and one column per probability.
     """
-    names = list(names) if names else [f"q{i}" for i in range(len(probabilities))]
     counts = materialize(
         df.where(F.col(value).isNotNull())
         .groupBy(group_key(by).alias(KEY), F.col(value).cast("double").alias("value"))
         .agg(F.count("*").alias("n"))
     )
+    return quantiles_of_counts(counts, by, probabilities, names, rows_per_range)
+
+
+def quantiles_of_counts(
+    counts: DataFrame,
+    by: Sequence[str],
+    probabilities: Sequence[float],
+    names: Sequence[str] | None = None,
+    rows_per_range: int = 1_000_000,
+) -> DataFrame:
+    """``grouped_quantiles`` from a stored table of ``KEY``, a ``value`` that isn't null, and ``n``, how often it occurs."""
+    names = list(names) if names else [f"q{i}" for i in range(len(probabilities))]
     ranked = running_counts(counts, "value", ["n"], rows_per_range=rows_per_range)
 
     def value_at(index):
@@ -120,3 +131,31 @@ def grouped_quantiles(
         low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
         results.append(F.when(low == high, low).otherwise(low + (high - low) * share).alias(name))
     return picked.select(KEY, *[F.col(KEY)[c].alias(c) for c in by], "n", *results)
+
+
+def sketched_quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    names: Sequence[str] | None = None,
+    rank_error: float = 1e-4,
+) -> DataFrame:
+    """Quantiles in one aggregate whose memory doesn't grow with the rows: a mergeable sketch for each group.
+
+    Each result is a value of the group whose rank is off by at most ``rank_error`` of the group's rows. The smallest
+    and the largest value are exact. Same columns as ``grouped_quantiles``, without interpolation between two values.
+    """
+    if not 0 < rank_error < 1:
+        raise ValueError("rank_error is a share of rows between 0 and 1")
+    names = list(names) if names else [f"q{i}" for i in range(len(probabilities))]
+    number = F.col(value).cast("double")
+    sketch = F.percentile_approx(number, [float(q) for q in probabilities], math.ceil(1 / rank_error))
+    found = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(group_key(by).alias(KEY))
+        .agg(F.count("*").alias("n"), sketch.alias("found"), F.min(number).alias("least"), F.max(number).alias("most"))
+    )
+    ends = {0.0: F.col("least"), 1.0: F.col("most")}
+    values = [ends.get(float(q), F.col("found")[i]).alias(name) for i, (q, name) in enumerate(zip(probabilities, names))]
+    return found.select(KEY, *[F.col(KEY)[c].alias(c) for c in by], "n", *values)

@@ -12,7 +12,7 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
 ROWS_PER_PART = 10_000
 
@@ -57,12 +57,13 @@ def remove_tables(spark: SparkSession) -> bool:
     return files.delete(path, True)
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the table read back.
 
     With ``partition_by`` a filter on that column reads only the matching files. The rows are
     rebalanced first, or every task would write a small file for every value; adaptive execution
-    splits the partition of a frequent value over many tasks.
+    splits the partition of a frequent value over many tasks. ``schema`` is what the stored fields are read as, if
+    not as they are: a struct as the type that is stored as one.
     """
     spark = df.sparkSession
     path = new_path(spark)
@@ -72,7 +73,7 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def spread(df: DataFrame, rows: int, rows_per_part: int = ROWS_PER_PART) -> DataFrame:

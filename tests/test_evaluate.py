@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tabloom.operators import evaluate
+from tabloom.operators.evaluate import confidence_summary, roc_curve, thin_roc
 from tabloom.operators.models import CLASSIFIERS
 
 
@@ -98,3 +99,45 @@ def test_summary_is_the_box_of_each_model(scores):
     expected = np.quantile(df.toPandas()["confidence"], [0, 0.25, 0.5, 0.75, 1])
     np.testing.assert_allclose([row[c] for c in evaluate.BOX], expected)
     assert row["n"] == 3000
+
+
+@pytest.mark.parametrize("cells", [1, 10, 100])
+def test_thinned_curve_is_small_and_its_area_near(spark, cells):
+    score = (F.col("id") * 7919 % 20011).cast("double")
+    rows = spark.range(20_000).select(
+        score.alias("score"), F.when(score + F.col("id") * 31 % 9973 > 14_000, 1.0).otherwise(0.0).alias("label")
+    )
+
+    def area(points):
+        found = sorted((r["FPR"], r["TPR"]) for r in points.collect())
+        return len(found), sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(found, found[1:]))
+
+    curve = roc_curve(rows)
+    whole, thin = area(curve), area(thin_roc(curve, cells))
+    assert whole[0] == 20_001 and thin[0] <= 4 * cells + 2
+    assert abs(whole[1] - thin[1]) <= 1 / (2 * cells)
+    ends = [tuple(r) for r in thin_roc(curve, cells).where("FPR = 0 AND TPR = 0 OR FPR = 1 AND TPR = 1").collect()]
+    assert (None, 0.0, 0.0) in ends and any(e[1:] == (1.0, 1.0) for e in ends)
+
+
+def test_thinned_curve_of_one_class(spark):
+    rows = spark.createDataFrame([(1.0, 0.1), (1.0, 0.9)], "label double, score double")
+    assert {r["TPR"] for r in thin_roc(roc_curve(rows), 10).collect()} == {0.0, 0.5, 1.0}
+
+
+def test_sketched_box_keeps_its_rank_error(spark):
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise(None).alias("model"),
+        ((F.col("id") * 7919 % 60_013) / 7.0).alias("confidence"),
+    )
+    values = {m: sorted(r["confidence"] for r in rows.where(F.col("model").eqNullSafe(m)).collect()) for m in ("a", None)}
+    boxes = {r["model"]: r for r in confidence_summary(rows, method="sketch", rank_error=0.01).collect()}
+    assert boxes.keys() == values.keys()
+    for model, box in boxes.items():
+        known = values[model]
+        assert box["n"] == len(known)
+        assert (box["minimum"], box["maximum"]) == (known[0], known[-1])
+        for name, share in (("lower_quartile", 0.25), ("median", 0.5), ("upper_quartile", 0.75)):
+            assert abs(known.index(box[name]) / len(known) - share) <= 0.01 + 1 / len(known)
+    with pytest.raises(ValueError):
+        confidence_summary(rows, method="guess")

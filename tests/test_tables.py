@@ -9,7 +9,7 @@ from tabloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_SCHEMA
 from tabloom.sources import shared
 from tabloom.sources.passengers import passengers
 from tabloom.sources.shared import materialize, remove_tables, shared_folder, training_table
-from tabloom.sources.tables import read_table, write_table
+from tabloom.sources.tables import read_checked, read_table, write_table
 from tests.conftest import SMALL
 
 RAW_ROWS = [
@@ -79,3 +79,23 @@ def test_tables_of_the_application_can_be_removed(spark, tmp_path, monkeypatch):
     assert glob.glob(f"{tmp_path}/tabloom-*/table-*")
     assert remove_tables(spark)
     assert not glob.glob(f"{tmp_path}/tabloom-*")
+
+
+def test_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    lines = ["k,v,w", "1,x,2.5", "2,y", "3,z,1.0,more", "four,u,1.0", "5,,", '6,"a,b",7']
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    good, bad = read_checked(spark, str(tmp_path / "t.csv"), "k int, v string, w double")
+    assert sorted(tuple(r) for r in good.collect()) == [(1, "x", 2.5), (5, None, None), (6, "a,b", 7.0)]
+    assert sorted(r["line"] for r in bad.collect()) == ["2,y", "3,z,1.0,more", "four,u,1.0"]
+    assert all(r["file"].endswith("t.csv") for r in bad.collect())
+    assert good.select("v").count() == 3 and bad.count() == 3
+
+
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("v,k\nx,1\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_checked(spark, str(tmp_path / "t.csv"), "k int, v string")
+    (tmp_path / "empty.csv").write_text("k,v\n")
+    assert [part.count() for part in read_checked(spark, str(tmp_path / "empty.csv"), "k int, v string")] == [0, 0]
+    with pytest.raises(ValueError):
+        read_checked(spark, str(tmp_path / "t.csv"), "k int, malformed_line_ string")
