@@ -367,9 +367,14 @@ def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, bloc
     )
     opened = (
         labelled.groupBy("entry")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low <> high").select("entry", "n")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("two"),
+        )
+        .where("low <> high")
     )
+    # Entries with the same texts have the same pairs, which are compared in the first of them.
+    opened = opened.groupBy("n", "low", "high", "one", "two").agg(F.min("entry").alias("entry")).select("entry", "n")
     step = -math.log(similarity) * 1.0001
     several = F.col("n") > block_texts
     roles = F.when(several, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
@@ -397,17 +402,21 @@ def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, bloc
     groups = groups.select(
         "entry", "g", F.col("major.class").alias("major"),
         F.ceil(F.col("major.n") / block_texts).alias("majors"),
-        F.ceil((F.col("n") - F.col("major.n")) / block_texts).alias("others"),
+        F.ceil((F.col("n") - F.col("major.n")) / block_texts).alias("others"), (F.col("n") <= block_texts).alias("single"),
     )
     # A text of the largest class is needed only where the lengths of the others allow a link.
     lengths = counts.join(groups, ["entry", "g"]).where("class <> major").groupBy("entry", "g")
     groups = groups.join(lengths.agg(F.min("least").alias("least"), F.max("most").alias("most")), ["entry", "g"])
-    # The largest class has the first blocks and is compared with the others only.
+    # A group that fits into one block is one. Else the largest class has the first blocks and is compared with the
+    # others only.
     blocks = F.col("majors") + F.col("others")
     spread = F.xxhash64("node", F.lit(SEED))
     major = F.col("class") == F.col("major")
-    block = F.when(major, F.pmod(spread, "majors")).otherwise(F.col("majors") + F.pmod(spread, "others"))
-    other = F.sequence(F.when(major, F.col("majors")).otherwise(F.lit(0).cast("long")), blocks - 1)
+    zero = F.lit(0).cast("long")
+    apart = F.when(major, F.pmod(spread, "majors")).otherwise(F.col("majors") + F.pmod(spread, "others"))
+    block = F.when(F.col("single"), zero).otherwise(apart)
+    against = F.sequence(F.when(major, F.col("majors")).otherwise(zero), blocks - 1)
+    other = F.when(F.col("single"), F.array(zero)).otherwise(against)
     near = (F.col("size") >= similarity * F.col("least") - 1e-6) & (similarity * F.col("size") <= F.col("most") + 1e-6)
     return (
         placed.join(materialize(groups), ["entry", "g"])
