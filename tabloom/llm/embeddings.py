@@ -1,18 +1,25 @@
-"""Near-duplicate embeddings: randomised-rotation binary codes with correction factors.
+"""Near-duplicate embeddings: randomised-rotation binary codes with stored correction factors.
 
-Unit vectors are turned by random rotations; a vector's code is the signs of its turned coordinates, and its
-correction factor the inner product of code and vector. Code times query divided by the factor is an unbiased
-estimate of the inner product, with an error bound that follows from the factor. Only pairs whose upper bound
-reaches the threshold are recomputed exactly, in double precision; only those that reach it are links.
+Unit vectors are turned by random rotations; a vector's code is the signs of its turned coordinates, and a
+rotation's correction factor the inner product of the code, as a unit vector, and the vector. Code and factors are
+worked out once a vector and stored. A code divided by its factor is the vector plus an error that is orthogonal
+to it and has a random direction, so the product of two such estimates from different rotations is an unbiased
+estimate of the inner product of the vectors. It is averaged over all pairs of different rotations. Its standard
+deviation for a pair at the threshold follows from the factors, and that of a closer pair is smaller.
 
-Candidates: parts of the code (``bits`` signs each) put every vector into one cell of each of several tables.
-Vectors that meet in a cell are compared. The number of tables follows from the wanted recall of pairs right at
-the threshold (closer pairs are found more surely); bits grow with the logarithm of the number of vectors,
-so cells keep their size. A pair is counted in the first table in which it meets.
+1. Candidates: parts of the code (``bits`` signs each) put every vector into one cell of each of several tables. Codes,
+   not vectors, are sent to the cells. A pair is looked at in the first table in which it meets.
+2. A pair whose estimate lies more than ``BOUND`` deviations below the threshold is no link. Vectors that have any other
+   pair are fetched to the cell, and all its undecided pairs are recomputed exactly, by one formula in double
+   precision. Those that reach the threshold (equal counts) are links, no others.
+
+The number of tables follows from the wanted recall of pairs right at the threshold (closer pairs are found more
+surely); bits grow with the logarithm of the number of vectors, so cells keep their size. A code takes
+``ROTATIONS`` bits a dimension, or as many as the tables use if that is more.
 
 * Exact copies are collapsed first and weigh as many as they are.
-* A large cell is cut into blocks, and every pair of blocks is a task of bounded size. Tasks return sums per
-  vector and the edges of a spanning forest, never pairs.
+* A large cell is cut into blocks, and every pair of blocks is a task of bounded size. Tasks return vectors with
+  undecided pairs, then sums per vector and the edges of a spanning forest, never pairs.
 
 Defined cases: a vector that is null, empty, zero or has null or non-finite components, or whose id is null,
 links with nothing; vectors of different length are not compared; rows that repeat id and vector count
@@ -38,8 +45,12 @@ THRESHOLD = 0.9
 RECALL = 0.99
 CELL_ROWS = 400
 BLOCK_ROWS = 2048
+#: Estimates are averaged over the pairs of so many rotations.
+ROTATIONS = 4
 #: Width of the bound in standard deviations of the estimate.
 BOUND = 4.0
+#: Exact products are taken of so many pairs at a time.
+EXACT_PAIRS = 65_536
 SEED = 7
 
 
@@ -62,15 +73,68 @@ def _unit(raw: list[bytes], dtype: str) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _turned(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
+def code_bits(dim: int, bits: int, tables: int) -> int:
+    return max(ROTATIONS * dim, bits * tables)
+
+
+def encode(vectors: np.ndarray, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed codes of unit vectors, and their correction factors in the first ``ROTATIONS`` rotations."""
     dim = vectors.shape[1]
-    return vectors @ rotations(dim, math.ceil(bits * tables / dim)).T
+    width = code_bits(dim, bits, tables)
+    turned = vectors @ rotations(dim, math.ceil(width / dim)).T
+    along = np.abs(turned[:, : ROTATIONS * dim]).reshape(len(vectors), ROTATIONS, dim)
+    factors = (along.sum(axis=2) / math.sqrt(dim)).astype(np.float32)
+    return np.packbits(turned[:, :width] > 0, axis=1), factors
 
 
-def _cells(turned: np.ndarray, bits: int, tables: int) -> np.ndarray:
+def _cells(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """Cell of every vector (row) in every table (column)."""
-    signs = (turned[:, : bits * tables] > 0).reshape(len(turned), tables, bits)
-    return signs @ (1 << np.arange(bits, dtype=np.int64))
+    parts = signs[:, : bits * tables].reshape(len(signs), tables, bits)
+    return parts @ (1 << np.arange(bits, dtype=np.int64))
+
+
+class Codes:
+    """Codes of vectors of one length, ready for estimates of their inner products."""
+
+    def __init__(self, codes: np.ndarray, factors: np.ndarray, dim: int, bits: int, tables: int, threshold: float):
+        signs = np.unpackbits(codes, axis=1, count=code_bits(dim, bits, tables))
+        self.cells = _cells(signs, bits, tables)
+        unit = signs[:, : ROTATIONS * dim].astype(np.float32) * 2 - 1
+        scaled = unit.reshape(len(codes), ROTATIONS, dim) / (factors[:, :, None] * np.float32(math.sqrt(dim)))
+        self.scaled = scaled.reshape(len(codes), ROTATIONS * dim)
+        # Each rotation's estimate of the vector, turned back and summed.
+        self.total = self.scaled @ rotations(dim, ROTATIONS).astype(np.float32)
+        self.error = np.maximum(1 / factors.astype(np.float64) ** 2 - 1, 0).mean(axis=1)
+        self.dim, self.threshold = dim, threshold
+
+    def estimates(self, rows: slice) -> np.ndarray:
+        """Estimated inner products of ``rows`` with all vectors; products within a rotation are left out."""
+        both = self.total[rows] @ self.total.T - self.scaled[rows] @ self.scaled.T
+        return both / (ROTATIONS * (ROTATIONS - 1))
+
+    def deviations(self, rows: slice) -> np.ndarray:
+        """Standard deviation of the estimate for a pair at the threshold."""
+        one, two = self.error[rows, None], self.error[None, :]
+        across = max(0.0, 1 - self.threshold**2) * (one + two) / ROTATIONS
+        return np.sqrt((across + one * two / (ROTATIONS * (ROTATIONS - 1))) / max(self.dim - 1, 1))
+
+    def undecided(self, table: int, block: np.ndarray, crossing: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (i < j) that meet first in ``table`` and whose estimate doesn't rule a link out, in parts."""
+        for start in range(0, len(self.cells), 512):
+            rows = slice(start, start + 512)
+            i, j = np.nonzero(self.estimates(rows) + BOUND * self.deviations(rows) + 1e-5 >= self.threshold)
+            i += start
+            keep = i < j
+            if crossing:
+                keep &= block[i] != block[j]
+            i, j = i[keep], j[keep]
+            first = (self.cells[i] == self.cells[j]).argmax(axis=1) == table
+            yield i[first], j[first]
+
+
+def _products(vectors: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    parts = [slice(at, at + EXACT_PAIRS) for at in range(0, len(i), EXACT_PAIRS)]
+    return np.concatenate([np.einsum("ij,ij->i", vectors[i[p]], vectors[j[p]]) for p in parts] or [np.zeros(0)])
 
 
 def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
@@ -88,41 +152,38 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         label = fresh
 
 
+KEYS = ["dim", "t", "cell", "first", "second"]
+
+
+def _codes_of(frame: pd.DataFrame, bits: int, tables: int, threshold: float) -> Codes:
+    codes = np.stack([np.frombuffer(x, dtype=np.uint8) for x in frame["code"]])
+    factors = np.stack([np.frombuffer(x, dtype="<f4") for x in frame["factors"]])
+    return Codes(codes, factors, int(frame["dim"].iat[0]), bits, tables, threshold)
+
+
+def _pairs(frame: pd.DataFrame, bits: int, tables: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    crossing = frame["first"].iat[0] != frame["second"].iat[0]
+    codes = _codes_of(frame, bits, tables, threshold)
+    return codes.undecided(int(frame["t"].iat[0]), frame["block"].to_numpy(), crossing)
+
+
+def to_fetch(frame: pd.DataFrame, bits: int, tables: int, threshold: float) -> pd.DataFrame:
+    """The vectors of one cell, or of two of its blocks, that have an undecided pair there."""
+    needed = np.zeros(len(frame), dtype=bool)
+    for i, j in _pairs(frame, bits, tables, threshold):
+        needed[i] = needed[j] = True
+    return frame.loc[needed, [*KEYS, "block", "rep"]]
+
+
 def compare(frame: pd.DataFrame, dtype: str, bits: int, tables: int, threshold: float) -> pd.DataFrame:
-    """Links among the vectors of one cell, or between two of its blocks: sums per vector and forest."""
-    left, right, this = int(frame["first"].iat[0]), int(frame["second"].iat[0]), int(frame["t"].iat[0])
+    """Links among the fetched vectors of one cell, or between two of its blocks: sums per vector and forest."""
     frame = frame.sort_values("rep", ignore_index=True)
     vectors = _unit(frame["vec"].tolist(), dtype)
-    turned = _turned(vectors, bits, tables)
-    code = np.where(turned > 0, 1.0, -1.0).astype(np.float32)
-    dim, width = vectors.shape[1], turned.shape[1]
-    copies = width // dim
-    # Per rotation the factor is <code, vector> / sqrt(dim); estimates of the rotations are averaged.
-    factors = np.abs(turned).reshape(len(frame), copies, dim).sum(axis=2) / math.sqrt(dim)
-    scaled = (code.reshape(len(frame), copies, dim) / factors[:, :, None].astype(np.float32)).reshape(len(frame), width)
-    spread = np.sqrt(np.maximum(1 / factors**2 - 1, 0).mean(axis=1) / (copies * max(dim - 1, 1)))
-    queries = (turned / (math.sqrt(dim) * copies)).astype(np.float32)
-    cells = _cells(turned, bits, tables)
-    block = frame["block"].to_numpy()
     found_i, found_j = [], []
-    for start in range(0, len(frame), 512):
-        rows = slice(start, start + 512)
-        upper = queries[rows] @ scaled.T + (BOUND * spread + 1e-5).astype(np.float32)
-        i, j = np.nonzero(upper >= threshold)
-        i += start
-        keep = i < j
-        if left != right:
-            keep &= block[i] != block[j]
-        i, j = i[keep], j[keep]
-        if len(i) * 8 > 512 * len(frame):  # dense: all exact products of these rows at once
-            exact = (vectors[rows] @ vectors.T)[i - start, j]
-        else:
-            exact = np.einsum("ij,ij->i", vectors[i], vectors[j])
-        keep = exact >= threshold
-        i, j = i[keep], j[keep]
-        first = (cells[i] == cells[j]).argmax(axis=1) == this
-        found_i.append(i[first])
-        found_j.append(j[first])
+    for i, j in _pairs(frame, bits, tables, threshold):
+        link = _products(vectors, i, j) >= threshold
+        found_i.append(i[link])
+        found_j.append(j[link])
     i, j = np.concatenate(found_i), np.concatenate(found_j)
     weight = frame["copies"].to_numpy()
     links = np.bincount(i, weight[j], len(frame)) + np.bincount(j, weight[i], len(frame))
@@ -162,29 +223,39 @@ def near_duplicates(
     tables = tables_for(bits, threshold, recall)
     dtype = "<f4" if df.schema[vector].dataType.elementType.simpleString() == "float" else "<f8"
 
-    def place(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_dim: dict[int, list[int]] = {}
             raw = [np.asarray(v, dtype=dtype).tobytes() for v in batch.column("v").to_pylist()]
             for at, x in enumerate(raw):
-                by_dim.setdefault(len(x), []).append(at)
-            for size, at in by_dim.items():
-                cells = _cells(_turned(_unit([raw[a] for a in at], dtype), bits, tables), bits, tables)
-                columns = {
-                    "dim": np.full(cells.size, size), "t": np.tile(np.arange(tables), len(at)), "cell": cells.ravel(),
-                }
-                if whole:
-                    for name in ("rep", "copies"):
-                        columns[name] = np.repeat(batch.column(name).to_numpy()[at], tables)
-                    columns["vec"] = [raw[a] for a in at for _ in range(tables)]
+                by_dim.setdefault(len(x) // np.dtype(dtype).itemsize, []).append(at)
+            for dim, at in by_dim.items():
+                codes, factors = encode(_unit([raw[a] for a in at], dtype), bits, tables)
+                columns = {name: batch.column(name).to_numpy()[at] for name in ("rep", "copies")}
+                columns |= {"dim": np.full(len(at), dim), "vec": [raw[a] for a in at]}
+                columns |= {"code": [x.tobytes() for x in codes], "factors": [x.tobytes() for x in factors]}
                 yield pa.RecordBatch.from_pydict(columns)
 
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.filter(pa.array(dims == dim))
+                packed = np.stack([np.frombuffer(x, dtype=np.uint8) for x in part.column("code").to_pylist()])
+                cells = _cells(np.unpackbits(packed, axis=1, count=code_bits(dim, bits, tables)), bits, tables)
+                rows = part.take(pa.array(np.repeat(np.arange(part.num_rows), tables)))
+                columns = {name: rows.column(name) for name in rows.schema.names}
+                columns |= {"t": np.tile(np.arange(tables), part.num_rows), "cell": cells.ravel()}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "rep long, copies long, dim long, vec binary, code binary, factors binary"
+    stored = materialize(distinct.select("rep", "copies", "v").mapInArrow(coded, schema))
     keys = ["dim", "t", "cell"]
-    placed = distinct.select("v").mapInArrow(lambda b: place(b, False), "dim long, t long, cell long")
-    large = materialize(placed.groupBy(keys).count().where(F.col("count") > block_rows))
+    counted = stored.select("dim", "code").mapInArrow(placed, "dim long, code binary, t long, cell long")
+    large = materialize(counted.groupBy(keys).count().where(F.col("count") > block_rows))
     # ``large`` has few rows and is a stored table: Spark broadcasts it if it is small, else it joins by sorting.
-    full = distinct.select("rep", "copies", "v").mapInArrow(
-        lambda b: place(b, True), "dim long, t long, cell long, rep long, copies long, vec binary"
+    full = stored.select("rep", "dim", "code", "factors").mapInArrow(
+        placed, "rep long, dim long, code binary, factors binary, t long, cell long"
     )
     blocks = F.ceil(F.coalesce("count", F.lit(1)) / block_rows)
     blocked = (
@@ -193,10 +264,16 @@ def near_duplicates(
         .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-        .select(*keys, "first", "second", "block", "rep", "copies", "vec")
+        .select(*KEYS, "block", "rep", "code", "factors")
+    )
+    places = "dim long, t long, cell long, first long, second long, block long, rep long"
+    needed = materialize(
+        blocked.groupBy(KEYS).applyInPandas(lambda frame: to_fetch(frame, bits, tables, threshold), places)
     )
     compared = materialize(
-        blocked.groupBy(*keys, "first", "second").applyInPandas(
+        needed.join(stored.drop("dim"), "rep")
+        .groupBy(KEYS)
+        .applyInPandas(
             lambda frame: compare(frame, dtype, bits, tables, threshold), "rep long, links long, root long"
         )
     )
