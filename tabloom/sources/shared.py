@@ -20,7 +20,8 @@ ROWS_PER_PART = 10_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, else the checkpoint folder already set.
 
-    A session that names neither uses a folder below its warehouse, which all executors share too.
+    A local session that names neither uses a folder below its warehouse. On a cluster that might be a folder of
+    one machine, so there one of the two has to be named.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -29,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         spark.sparkContext.setCheckpointDir(f"{warehouse}/tabloom-shared")
         current = spark.sparkContext.getCheckpointDir()

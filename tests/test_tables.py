@@ -1,4 +1,5 @@
 import glob
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -99,3 +100,13 @@ def test_a_header_in_another_order_is_an_error(spark, tmp_path):
     assert [part.count() for part in read_checked(spark, str(tmp_path / "empty.csv"), "k int, v string")] == [0, 0]
     with pytest.raises(ValueError):
         read_checked(spark, str(tmp_path / "t.csv"), "k int, malformed_line_ string")
+
+
+def test_cluster_session_has_to_name_a_shared_folder():
+    named = {}
+    context = SimpleNamespace(master="spark://somewhere:7077", getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: named.get(name, default)), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    named["spark.checkpoint.dir"] = "hdfs://somewhere/shared/"
+    assert shared_folder(session) == "hdfs://somewhere/shared"
