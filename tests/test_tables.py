@@ -74,6 +74,21 @@ def test_training_table_is_dealt_by_its_rows_alone(spark):
     assert parts[0] == parts[1] and len({row.part for row in parts[0]}) == 4
 
 
+def test_large_training_tables_have_larger_parts():
+    assert [shared.part_count(n) for n in (0, 1, 10_000, 10_001, 640_000)] == [1, 1, 1, 2, 64]
+    assert [shared.part_count(n) for n in (640_001, 6_300_000, 12_800_000)] == [64, 64, 64]
+    assert shared.part_count(37_800_000) == 189  # 3,780 parts of 10,000 rows would each report in every pass
+    assert shared.part_count(400_000, 50_000) == 8
+
+
+def test_equal_rows_are_dealt_evenly_by_a_column_of_their_own(spark):
+    rows = spark.range(0, 40_000, 1, 3).selectExpr("cast(id % 2 as double) as label", "xxhash64(id) as deal")
+    table = training_table(rows, deal="deal")
+    assert table.columns == ["label"]
+    sizes = [row["n"] for row in table.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) < 11_000  # by the label alone two of them would have all rows
+
+
 def test_tables_of_the_application_can_be_removed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}")
     materialize(spark.range(5))
