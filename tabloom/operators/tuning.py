@@ -24,9 +24,11 @@ from tabloom.operators.evaluate import accuracy, area_under_roc, weighted_f1
 from tabloom.operators.features import SCALED
 from tabloom.operators.models import UNSPECIFIED, ModelSpec
 from tabloom.operators.split import Key, fold_number
-from tabloom.sources.shared import shared_folder, training_table
+from tabloom.sources import shared
+from tabloom.sources.shared import materialize, shared_folder, training_table
 
 FOLD = "fold_"
+DEAL = "deal_"
 #: Many fits run at a time, so each is cut into fewer parts than a single one.
 ROWS_PER_PART = 50_000
 
@@ -131,6 +133,9 @@ def cross_validate(
     maps = grid_maps(spec.grid if grid is None else grid)
     families, measure = _families(spec, maps), spec.select_by or "f1"
     numbered = train.withColumn(FOLD, fold_number(folds, seed, key))
+    # A training table is dealt out anew whenever it is read; the folds read large ones as stored, which shuffles no rows.
+    stored = materialize(numbered)
+    numbered = stored if stored.count() > ROWS_PER_PART else numbered
     totals: list[list[float]] = [[] for _ in maps]
     submodels: list[list[Model]] = []
 
@@ -140,11 +145,15 @@ def cross_validate(
     def fit(rows: DataFrame, entry: int) -> Model:
         return estimator.fit(rows, {estimator.getParam(name): value for name, value in maps[entry].items()})
 
+    def fit_rows(prepared: PipelineModel, own: DataFrame, rows_per_part: int = shared.ROWS_PER_PART) -> DataFrame:
+        # Labels and features may have few values, so rows are dealt by all that is known of them, the key too.
+        whole = F.xxhash64(*train.columns)
+        return training_table(prepared.transform(own).select("label", SCALED, whole.alias(DEAL)), rows_per_part, DEAL)
+
     def ready(fold: int) -> tuple[PipelineModel, DataFrame]:
         own = numbered.where(F.col(FOLD) != fold)
         prepared = Pipeline(stages=list(prepare)).fit(own)
-        rows = training_table(prepared.transform(own).select("label", SCALED), ROWS_PER_PART)
-        return prepared, rows.persist(StorageLevel.MEMORY_AND_DISK)
+        return prepared, fit_rows(prepared, own, ROWS_PER_PART).persist(StorageLevel.MEMORY_AND_DISK)
 
     def scores(fold: int, prepared: PipelineModel, models: Sequence[Model]) -> DataFrame:
         held = prepared.transform(numbered.where(F.col(FOLD) == fold)).select("label", SCALED)
@@ -178,8 +187,8 @@ def cross_validate(
                 submodels.append([kept[entry] for entry in range(len(maps))])
     metrics = [sum(found) / len(found) if found else None for found in totals]
     best = max(range(len(maps)), key=lambda entry: -1.0 if metrics[entry] is None else metrics[entry])
-    prepared = Pipeline(stages=list(prepare)).fit(train)
-    rows = training_table(prepared.transform(train).select("label", SCALED)).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = Pipeline(stages=list(prepare)).fit(numbered)
+    rows = fit_rows(prepared, numbered).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit(rows, best)
     finally:

@@ -151,6 +151,25 @@ def test_search_equals_a_loop_of_fits_and_evaluators(frames, monkeypatch):
             assert metric == pytest.approx(np.mean(each), abs=1e-9), (name, values)
 
 
+def test_folds_of_few_different_rows_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(tuning, "ROWS_PER_PART", 500)
+    sizes = []
+    build = CLASSIFIERS["decision_tree"].estimator.fit
+
+    def fit(self, rows, params=None):
+        sizes.append(sorted(len(part) for part in rows.rdd.glom().collect()))
+        return build(self, rows, params) if params else build(self, rows)
+
+    monkeypatch.setattr(CLASSIFIERS["decision_tree"].estimator, "fit", fit)
+    train = spark.range(4000).selectExpr("id", "cast(id % 2 as double) as label", "cast(id % 2 as double) as x")
+    found = cross_validate(
+        CLASSIFIERS["decision_tree"], train, 1, "id", folds=2, grid={"maxDepth": [1]}, prepare=feature_pipeline(["x"]).getStages()
+    )
+    assert found.metrics == [1.0]
+    # By the label alone two parts would have all rows of a fold.
+    assert all(len(found) > 3 and found[0] > 300 and found[-1] < 700 for found in sizes[:2])
+
+
 def test_a_shorter_boosted_model_is_the_beginning_of_a_longer_one(frames):
     train, test = frames
     spec = CLASSIFIERS["gbt"]
