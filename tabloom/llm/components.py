@@ -47,3 +47,19 @@ def components(edges: DataFrame) -> DataFrame:
     # A root is a vertex itself, so the smallest vertex of each root is the component's.
     smallest = roots.groupBy("parent").agg(F.min("vertex").alias("component"))
     return materialize(roots.join(smallest, "parent").select("vertex", "component"))
+
+
+def joined_classes(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(vertex, component) of the graph with the components ``classes`` and further ``edges``, which are few.
+
+    Only the edges between classes, in place of their vertices, go through the rounds.
+    """
+    edges = materialize(edges)
+    of = lambda side: classes.select(F.col("vertex").alias(side), F.col("component").alias(f"c{side}"))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joined = components(between.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    onward = joined.select(F.col("vertex").alias("component"), F.col("component").alias("onward"))
+    moved = classes.join(onward, "component", "left").select("vertex", F.coalesce("onward", "component").alias("component"))
+    # Vertices that no class had before.
+    fresh = joined.join(classes.select("vertex"), "vertex", "left_anti")
+    return moved.unionByName(fresh)

@@ -32,12 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.alignment import distance_within
 from tabloom.llm.batches import texts_of
-from tabloom.llm.components import components
+from tabloom.llm.components import components, joined_classes
 from tabloom.sources.shared import materialize
 
 WORDS = 4
@@ -446,10 +446,12 @@ def near_duplicates(
     )
     distinct = materialize(distinct)
     entry = distinct.select("node", "size", F.explode(F.array_distinct("sketch")).alias("entry"))
-    shared = entry.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("leader"))
-    shared = materialize(shared.where("n > 1").drop("n"))
-    # Few of the entries have a partner; the other rows are read no more.
-    grouped = materialize(entry.join(shared.hint("merge"), "entry"))
+    # Few of the entries have a partner; the other rows are read no more. One shuffle brings an entry's texts together.
+    of_entry = Window.partitionBy("entry")
+    shared = entry.withColumns(
+        {"n": F.count(F.lit(1)).over(of_entry), "leader": F.min(F.struct("node", "size")).over(of_entry)}
+    )
+    grouped = materialize(shared.where("n > 1").drop("n"))
 
     # Every text against the smallest of its entries.
     longer, shorter = F.greatest("size", "leader.size"), F.least("size", "leader.size")
@@ -474,7 +476,7 @@ def near_duplicates(
     blocked = materialize(_open_blocks(grouped, classes, similarity, block_texts))
     own = blocked.groupBy("node").agg(F.collect_set("entry").alias("entries"))  # as many as a sketch has at most
     block_edges = block_links(blocked.join(texts.drop("size").join(own, "node"), "node"), similarity)
-    linked = components(star_edges.unionByName(materialize(block_edges)))
+    linked = joined_classes(classes, block_edges)
 
     nodes = distinct.select("digest", "node").join(linked.withColumnRenamed("vertex", "node"), "node", "left")
     named = materialize(nodes.select("digest", F.coalesce("component", "node").alias("class")))
