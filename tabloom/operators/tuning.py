@@ -135,7 +135,8 @@ def cross_validate(
     numbered = train.withColumn(FOLD, fold_number(folds, seed, key))
     # A training table is dealt out anew whenever it is read; the folds read large ones as stored, which shuffles no rows.
     stored = materialize(numbered)
-    numbered = stored if stored.count() > ROWS_PER_PART else numbered
+    large = stored.count() > ROWS_PER_PART
+    numbered = stored if large else numbered
     totals: list[list[float]] = [[] for _ in maps]
     submodels: list[list[Model]] = []
 
@@ -147,8 +148,9 @@ def cross_validate(
 
     def fit_rows(prepared: PipelineModel, own: DataFrame, rows_per_part: int = shared.ROWS_PER_PART) -> DataFrame:
         # Labels and features may have few values, so rows are dealt by all that is known of them, the key too.
-        whole = F.xxhash64(*train.columns)
-        return training_table(prepared.transform(own).select("label", SCALED, whole.alias(DEAL)), rows_per_part, DEAL)
+        deal = [F.xxhash64(*train.columns).alias(DEAL)] if large else []
+        rows = prepared.transform(own).select("label", SCALED, *deal)
+        return training_table(rows, rows_per_part, DEAL if large else None)
 
     def ready(fold: int) -> tuple[PipelineModel, DataFrame]:
         own = numbered.where(F.col(FOLD) != fold)
