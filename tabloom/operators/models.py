@@ -24,6 +24,7 @@ class ModelSpec:
     """An estimator with its parameters, its search grid and what is reported about it.
 
     ``lengthens`` is a parameter whose smaller values give the beginning of the model that a larger one gives.
+    ``weighs`` says that a fit takes one row with a weight for as many equal rows. A forest doesn't: it draws every row.
     """
 
     title: str
@@ -35,6 +36,7 @@ class ModelSpec:
     report: Sequence[tuple[str, str]] = ()
     hidden_layers: Sequence[int] = ()
     lengthens: str | None = None
+    weighs: bool = False
 
     def build(self, inputs: int, classes: int = 2, seed: int = 1, **overrides: Any) -> Estimator:
         """A new estimator for ``inputs`` features. Every estimator that takes a seed gets it."""
@@ -63,6 +65,7 @@ CLASSIFIERS = {
             ("MaxIter", "maxIter"),
             ("elasticNetParam", "elasticNetParam"),
         ),
+        weighs=True,
     ),
     "random_forest": ModelSpec(
         "Random forest",
@@ -80,6 +83,7 @@ CLASSIFIERS = {
         select_by="auc",
         report=(("maxDepth", "maxDepth"), ("maxIter", "maxIter")),
         lengthens="maxIter",
+        weighs=True,
     ),
     "decision_tree": ModelSpec(
         "Decision Tree Classifier",
@@ -88,6 +92,7 @@ CLASSIFIERS = {
         grid={"maxDepth": [4, 8], "maxBins": [2, 4, 6]},
         select_by="f1",
         report=(("maxDepth", "maxDepth"), ("maxBins", "maxBins")),
+        weighs=True,
     ),
     "mlp": ModelSpec(
         "Multilayer perceptron classifier",

@@ -141,3 +141,12 @@ def test_sketched_box_keeps_its_rank_error(spark):
             assert abs(known.index(box[name]) / len(known) - share) <= 0.01 + 1 / len(known)
     with pytest.raises(ValueError):
         confidence_summary(rows, method="guess")
+
+
+def test_counted_rows_have_the_metrics_of_their_rows(spark):
+    rows = [("a", 1.0, 0.9, 3), ("a", 0.0, 0.9, 2), ("a", 0.0, 0.1, 5), ("a", 1.0, 0.1, 1), ("b", 1.0, 0.5, 4), ("b", 0.0, 0.2, 1)]
+    counted = spark.createDataFrame(rows, "m string, label double, score double, n long").withColumn("prediction", F.round("score"))
+    single = counted.selectExpr("m", "label", "score", "prediction", "explode(sequence(1, n)) as i")
+    for metric in (evaluate.accuracy, evaluate.weighted_f1, evaluate.area_under_roc):
+        for by in ([], ["m"]):
+            assert sorted(metric(counted, by=by, count="n").collect()) == sorted(metric(single, by=by).collect())

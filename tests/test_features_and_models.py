@@ -170,6 +170,45 @@ def test_folds_of_few_different_rows_are_dealt_evenly(spark, monkeypatch):
     assert all(len(found) > 3 and found[0] > 300 and found[-1] < 700 for found in sizes[:2])
 
 
+@pytest.mark.parametrize("name", ["logistic", "decision_tree", "gbt"])
+def test_large_folds_are_fitted_on_counted_rows(spark, monkeypatch, name):
+    spec, sizes = CLASSIFIERS[name], []
+    build = spec.estimator.fit
+
+    def fit(self, rows, params=None):
+        sizes.append(rows.count())
+        return build(self, rows, params) if params else build(self, rows)
+
+    monkeypatch.setattr(spec.estimator, "fit", fit)
+    # 28 different rows, of which no label follows from the features alone.
+    train = spark.range(6000).selectExpr(
+        "id", "cast((id % 7 + id % 2 * 2) % 5 > 1 and id % 11 > 2 as double) as label", "cast(id % 7 as double) as x", "cast(id % 2 as double) as y"
+    )
+    grid = {"maxIter": [5, 10]} if name != "decision_tree" else {"maxDepth": [1, 3]}
+    stages = feature_pipeline(["x", "y"]).getStages()
+    plain = cross_validate(spec, train, 2, "id", folds=2, grid=grid, prepare=stages)
+    assert min(sizes) > 2500
+    sizes.clear()
+    monkeypatch.setattr(tuning, "ROWS_PER_PART", 500)
+    monkeypatch.setattr(tuning, "MOST_WEIGHT", 1 / 50)
+    counted = cross_validate(spec, train, 2, "id", folds=2, grid=grid, prepare=stages)
+    assert max(sizes) <= 28 + 60
+    # Few heavy rows: the deviations that a regression scales by differ by half of the greatest weight, as stated.
+    np.testing.assert_allclose(counted.metrics, plain.metrics, atol=1e-6)
+    assert (counted.best, counted.parameters) == (plain.best, plain.parameters)
+
+
+def test_weights_of_counted_rows_add_up(spark):
+    rows = spark.createDataFrame([(0.0, 7), (1.0, 1), (2.0, 1000)], f"label double, {tuning.COUNT} long")
+    found = tuning.weighted_rows(rows, 1008 * 100).collect()
+    sums = {}
+    for r in found:
+        assert r[tuning.WEIGHT] == int(r[tuning.WEIGHT]) and 1 <= r[tuning.WEIGHT] <= 10
+        sums[r["label"]] = sums.get(r["label"], 0) + r[tuning.WEIGHT]
+    assert sums == {0.0: 7, 1.0: 1, 2.0: 1000}
+    assert len({r[tuning.DEAL] for r in found}) == len(found)
+
+
 def test_a_shorter_boosted_model_is_the_beginning_of_a_longer_one(frames):
     train, test = frames
     spec = CLASSIFIERS["gbt"]
