@@ -24,7 +24,8 @@ class ModelSpec:
     """An estimator with its parameters, its search grid and what is reported about it.
 
     ``lengthens`` is a parameter whose smaller values give the beginning of the model that a larger one gives.
-    ``weighs`` says that a fit takes one row with a weight for as many equal rows. A forest doesn't: it draws every row.
+    ``weighs`` says that a fit takes one row with a weight for as many equal rows, ``draws`` that it
+    draws rows, heavy ones as a whole.
     """
 
     title: str
@@ -37,6 +38,7 @@ class ModelSpec:
     hidden_layers: Sequence[int] = ()
     lengthens: str | None = None
     weighs: bool = False
+    draws: bool = False
 
     def build(self, inputs: int, classes: int = 2, seed: int = 1, **overrides: Any) -> Estimator:
         """A new estimator for ``inputs`` features. Every estimator that takes a seed gets it."""
@@ -74,6 +76,8 @@ CLASSIFIERS = {
         grid={"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]},
         select_by="auc",
         report=(("maxDepth", "maxDepth"), ("maxBins", "maxBins"), ("numTrees", "numTrees")),
+        weighs=True,
+        draws=True,
     ),
     "gbt": ModelSpec(
         "Gradient-Boosted Tree Classifier",
@@ -102,6 +106,7 @@ CLASSIFIERS = {
         grid={},
         select_by="f1",
         hidden_layers=(5, 4),
+        weighs=True,
     ),
     "naive_bayes": ModelSpec(
         "Naive Bayes",

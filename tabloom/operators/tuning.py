@@ -5,8 +5,8 @@ in one pass, equal ones once; one grouped job then gives every model's metric ex
 model (the number of boosting rounds) costs one fit for all its values: a shorter model is the beginning of the
 longest one.
 
-Models that take weights are fitted on counted rows if a large fold has many equal ones: encoded columns have
-few different values, however many rows there are.
+Models are fitted on counted rows if a large fold has many equal ones: encoded columns have few different values,
+however many rows there are. Perceptrons, which MLlib fits on single rows only, are fitted by ``counted``.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from tabloom.operators.counted import fit_counted_perceptron, takes_counts
 from tabloom.operators.evaluate import accuracy, area_under_roc, weighted_f1
 from tabloom.operators.features import SCALED
 from tabloom.operators.models import UNSPECIFIED, ModelSpec
@@ -40,6 +42,9 @@ COUNT = "count_"
 #: A counted row stands for at most this share of all rows. Weights make the deviations by which MLlib scales larger by up to
 #: half of that, and candidate splits are drawn from single rows.
 MOST_WEIGHT = 1 / 10_000
+#: A forest draws each counted row as a whole, so there are at least this many of them: larger tables' equal rows are drawn a few at a
+#: time, and what a tree draws varies as with this many rows.
+DRAWN_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -102,13 +107,14 @@ def counted_rows(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*rows.columns).agg(F.count("*").alias(COUNT))
 
 
-def weighted_rows(counted: DataFrame, total: int) -> DataFrame:
+def weighted_rows(counted: DataFrame, total: int, most: float | None = None) -> DataFrame:
     """Rows (columns, ``WEIGHT``, ``DEAL``) that stand for the ``total`` rows behind ``counted``.
 
-    Weights are whole numbers. Those of a row with more than ``MOST_WEIGHT`` of ``total`` are dealt to several equal rows.
+    Weights are whole numbers. Those of a row with more than ``most`` (``MOST_WEIGHT``) of ``total`` are dealt to several equal rows.
     """
+    most = MOST_WEIGHT if most is None else most
     columns = [c for c in counted.columns if c != COUNT]
-    pieces = F.ceil(F.col(COUNT) / F.lit(max(1, int(total * MOST_WEIGHT))))
+    pieces = F.ceil(F.col(COUNT) / F.lit(max(1, int(total * most))))
     cut = counted.withColumn("pieces_", pieces).withColumn("piece_", F.explode(F.sequence(F.lit(1), "pieces_")))
     weight = F.expr(f"piece_ * {COUNT} div pieces_ - (piece_ - 1) * {COUNT} div pieces_").cast("double")
     return cut.select(*columns, weight.alias(WEIGHT), F.xxhash64(*columns, "piece_").alias(DEAL))
@@ -171,16 +177,25 @@ def cross_validate(
     def longest(family: list[int]) -> int:
         return max(family, key=lambda entry: maps[entry].get(spec.lengthens, 0))
 
+    def chosen(entry: int, **more: Any) -> Estimator:
+        return estimator.copy({estimator.getParam(name): value for name, value in (maps[entry] | more).items()})
+
+    countable = large and all(takes_counts(chosen(entry)) for entry in range(len(maps)))
+
     def fit(rows: DataFrame, entry: int) -> Model:
-        weight = {"weightCol": WEIGHT} if WEIGHT in rows.columns else {}
-        return estimator.fit(rows, {estimator.getParam(name): value for name, value in (maps[entry] | weight).items()})
+        if WEIGHT not in rows.columns:
+            return chosen(entry).fit(rows)
+        if isinstance(estimator, MultilayerPerceptronClassifier):
+            return fit_counted_perceptron(chosen(entry), rows, WEIGHT)
+        return chosen(entry, weightCol=WEIGHT).fit(rows)
 
     def fit_rows(prepared: PipelineModel, own: DataFrame, rows_per_part: int = shared.ROWS_PER_PART) -> DataFrame:
-        if large and spec.weighs:
+        if countable and spec.weighs:
             counted = materialize(counted_rows(prepared.transform(own).select("label", SCALED)))
             sums = counted.agg(F.count("*").alias("different"), F.sum(COUNT).alias("rows")).first()
-            if sums["different"] and 2 * sums["different"] <= sums["rows"]:
-                rows = materialize(weighted_rows(counted, sums["rows"]))
+            if sums["different"] and 2 * (sums["different"] + spec.draws * DRAWN_ROWS) <= sums["rows"]:
+                most = 1 / DRAWN_ROWS if spec.draws else MOST_WEIGHT
+                rows = materialize(weighted_rows(counted, sums["rows"], most))
                 parts = shared.part_count(rows.count(), rows_per_part)
                 return rows.repartition(parts, DEAL).sortWithinPartitions(DEAL).drop(DEAL)
         # Labels and features may have few values, so rows are dealt by all that is known of them, the key too.
