@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from itertools import islice
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType, StructType
 
 from tabloom.functions.keys import group_key
 from tabloom.operators.attach import BROADCAST_BYTES, KEY, ROWS, attach
@@ -23,6 +24,12 @@ from tabloom.sources.shared import materialize, new_path, spread, training_table
 
 FILL = "fill_"
 GROUP = "group_number_"
+FIRST = "first_of_group_"
+#: Rows of a group that a pandas function gets in a frame, and of results that go back at a time, about.
+FRAME_ROWS = 10_000
+WEIGHT = "weight_"
+#: Forests without resampling are fitted on counted rows beyond this many rows, if there are at most half as many different ones.
+COUNTED_FROM = 50_000
 
 
 def known_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -90,13 +97,7 @@ def grouped_map(
     """
     by = list(by)
     if statistics is None:
-
-        def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            yield from fn(frames)
-
-        # Rows come to a group's task sorted; grouping keeps that order.
-        sorted_rows = df.repartition(*by).sortWithinPartitions(*by, *order) if order else df
-        return sorted_rows.groupBy(*by).applyInPandas(each, schema)
+        return _map_whole_groups(df, by, fn, schema, order)
 
     if isinstance(schema, StructType):
         names = schema.names
@@ -111,6 +112,69 @@ def grouped_map(
     return joined.mapInPandas(apply, schema)
 
 
+def _map_whole_groups(df, by, fn, schema, order):
+    """Rows come sorted, the first of each group marked, and a task's groups are cut out of batches that hold many."""
+    # A null would turn a batch's whole numbers and flags into other types for all of its groups, so it is sent apart.
+    apart = [f for f in df.schema if f.nullable and isinstance(f.dataType, (IntegralType, BooleanType))]
+    nulls = {f.name: f"null_{i}_" for i, f in enumerate(apart)}
+    zeros = {f.name: F.coalesce(f"`{f.name}`", F.lit(0).cast(f.dataType)) for f in apart}
+    of_group = Window.partitionBy(*[f"`{c}`" for c in by]).orderBy(*(order or [F.lit(0)]))
+    marked = df.withColumn(FIRST, F.row_number().over(of_group) == 1)
+    marked = marked.withColumns({flag: F.col(f"`{name}`").isNull() for name, flag in nulls.items()}).withColumns(zeros)
+    columns = df.columns
+
+    def pieces(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[bool, pd.DataFrame]]:
+        for batch in batches:
+            starts = batch[FIRST].to_numpy()
+            cuts = [0, *(np.flatnonzero(starts[1:]) + 1).tolist(), len(batch)] if len(batch) else []
+            for start, end in zip(cuts, cuts[1:]):
+                yield bool(starts[start]), batch.iloc[start:end]
+
+    def whole(held: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        frame = rows[columns]
+        for name, flag in nulls.items():
+            missing = rows[flag].to_numpy()
+            if missing.any():
+                kind = object if frame[name].dtype == bool else np.float64
+                frame = frame.assign(**{name: frame[name].astype(kind).mask(missing, None if kind is object else np.nan)})
+        return frame
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = pieces(batches)
+        piece = next(left, None)
+
+        def frames() -> Iterator[pd.DataFrame]:
+            nonlocal piece
+            held, rows = [piece[1]], len(piece[1])
+            while (piece := next(left, None)) is not None and not piece[0]:
+                if rows >= FRAME_ROWS:
+                    yield whole(held)
+                    held, rows = [], 0
+                held.append(piece[1])
+                rows += len(piece[1])
+            yield whole(held)
+
+        # Small results go back together, if of the same types.
+        made, rows, kinds = [], 0, None
+        while piece is not None:
+            group = frames()
+            for result in fn(group):
+                found = (tuple(result.columns), tuple(result.dtypes))
+                if made and (found != kinds or rows >= FRAME_ROWS):
+                    yield pd.concat(made, ignore_index=True)
+                    made, rows = [], 0
+                if len(result):
+                    made.append(result)
+                    rows, kinds = rows + len(result), found
+            for _ in group:  # what the function has not read
+                pass
+        if made:
+            yield pd.concat(made, ignore_index=True)
+
+    return marked.mapInPandas(run, schema)
+
+
 def grouped_reduce(
     df: DataFrame,
     by: Sequence[str],
@@ -225,6 +289,14 @@ def _forest(features, target, seed, trees, depth, bootstrap, subset):
     return assembler, forest
 
 
+def _counted(rows: DataFrame, known: int, bootstrap: bool) -> DataFrame | None:
+    """The different rows with their number as ``WEIGHT``, which give the same trees, if they are much fewer."""
+    if bootstrap or known <= COUNTED_FROM:
+        return None
+    counted = materialize(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias(WEIGHT)))
+    return counted if 2 * counted.count() <= known else None
+
+
 def _impute_forest(df, by, target, features, forest_options, parallelism, broadcast_bytes):
     spark = df.sparkSession
     groups = per_group(df, by, {"known_": F.count(target), "sum_": F.sum(target)})
@@ -237,15 +309,20 @@ def _impute_forest(df, by, target, features, forest_options, parallelism, broadc
     lookup = groups.select(KEY, ROWS, GROUP, (F.col("known_") < F.col(ROWS)).alias("gaps_"), "known_")
     numbered = attach(df, lookup, by, broadcast_bytes)
     known, missing = missing_split(numbered, target)
-    train = materialize(known.where("gaps_").select(*features, target, GROUP), partition_by=GROUP)
+    rows = known.where("gaps_").select(*features, target, GROUP)
+    used = groups.where(f"known_ < {ROWS}").agg(F.sum("known_")).first()[0] or 0
+    counted = _counted(rows, used, forest_options["bootstrap"])
+    train = materialize(rows if counted is None else counted, partition_by=GROUP)
     to_fill = materialize(missing.where("known_ > 0").drop("gaps_", "known_"), partition_by=GROUP)
     assembler, forest = _forest(features, target, **forest_options)
+    if counted is not None:
+        forest.setWeightCol(WEIGHT)
     filled = new_path(spark)
     kinds = df.select(*df.columns).schema
 
     def fill(group):
-        rows = train.where(F.col(GROUP) == group[GROUP]).select(*features, target)
-        model = forest.fit(assembler.transform(spread(rows, group["known_"])))
+        rows = train.where(F.col(GROUP) == group[GROUP]).drop(GROUP)
+        model = forest.fit(assembler.transform(spread(rows, group["known_"] if counted is None else rows.count())))
         found = model.transform(assembler.transform(to_fill.where(F.col(GROUP) == group[GROUP])))
         found.withColumn(target, F.col(FILL)).select(*df.columns).write.parquet(f"{filled}/group={group[GROUP]}")
 
@@ -273,7 +350,12 @@ def _impute_pooled(df, by, target, features, forest_options, broadcast_bytes):
     known, missing = missing_split(attach(df, groups.select(KEY, ROWS, level), by, broadcast_bytes), target)
     inputs = [*features, "group_level_"]
     assembler, forest = _forest(inputs, target, **forest_options)
-    model = forest.fit(assembler.transform(training_table(known.select(*inputs, target))))
+    rows = known.select(*inputs, target)
+    counted = _counted(rows, whole["known"], forest_options["bootstrap"])
+    if counted is not None:
+        forest.setWeightCol(WEIGHT)
+    train = training_table(rows) if counted is None else spread(counted, counted.count())
+    model = forest.fit(assembler.transform(train))
     predicted = model.transform(assembler.transform(missing)).withColumn(target, F.col(FILL))
     return known.select(*df.columns).unionByName(predicted.select(*df.columns))
 

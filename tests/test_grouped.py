@@ -228,3 +228,56 @@ def test_wide_statistics_are_not_broadcast(spark):
     assert per.agg(F.sum(stored_bytes(per, "all_values"))).first()[0] > 20_000
     narrow = per_group(df, ["k"], {"top": F.max("v")})
     assert "BroadcastHashJoin" in attach(df, narrow, ["k"], broadcast_bytes=20_000)._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.mark.parametrize("strategy", ["forest", "pooled_forest"])
+def test_forests_of_counted_rows_are_those_of_all_rows(spark, monkeypatch, strategy):
+    from tabloom.operators import grouped
+
+    df = spark.range(4000).selectExpr(
+        "id", "id % 2 as g", "cast(id % 3 as double) as x", "cast(id % 5 % 2 as double) as y",
+        "case when id % 7 > 0 then cast(id % 3 * 10 + id % 11 + id % 2 as double) end as t",
+    )
+    fill = lambda: grouped.grouped_impute(df, ["g"], "t", ["x", "y"], strategy, trees=5)
+    plain = {r["id"]: r["t"] for r in fill().collect()}
+    sizes, build = [], grouped.RandomForestRegressor.fit
+
+    def fit(self, rows, params=None):
+        sizes.append(rows.count())
+        return build(self, rows, params) if params else build(self, rows)
+
+    monkeypatch.setattr(grouped.RandomForestRegressor, "fit", fit)
+    monkeypatch.setattr(grouped, "COUNTED_FROM", 1000)
+    counted = {r["id"]: r["t"] for r in fill().collect()}
+    assert sizes and max(sizes) <= 2 * 3 * 2 * 11
+    assert counted.keys() == plain.keys() and all(counted[i] == pytest.approx(plain[i], abs=1e-9) for i in plain)
+
+
+def test_many_whole_groups_come_in_one_batch(spark):
+    from tabloom.operators.grouped import grouped_map
+
+    rows = [(k, i, None if k == "b" and i == 1 else 2**60 + i, None if k == "c" else i == 0) for k in ["a", "b", None, "c"] for i in range(3)]
+    rows += [("nan", 0, 1, True)]
+    df = spark.createDataFrame(rows, "k string, i int, n long, f boolean").repartition(5)
+
+    def seen(frames):
+        for frame in frames:
+            kinds = f"{frame['n'].dtype} {frame['f'].dtype} {list(frame.index)}"
+            yield frame[["k"]].head(1).assign(order=",".join(map(str, frame["i"])), last=str(frame["n"].iloc[-1]), kinds=kinds)
+
+    found = grouped_map(df, ["k"], seen, "k string, order string, last string, kinds string", order=["i"])
+    found = {r["k"]: (r["order"], r["last"], r["kinds"]) for r in found.collect()}
+    last = str(2**60 + 2)
+    assert found["a"] == ("0,1,2", last, "int64 bool [0, 1, 2]") and found[None] == found["a"]
+    assert found["b"][0] == "0,1,2" and found["b"][2].startswith("float64 bool")
+    assert found["c"] == ("0,1,2", last, "int64 object [0, 1, 2]") and len(found) == 5
+
+    def some(frames):
+        yield next(frames)[["k"]].head(1).assign(order="", last="", kinds="")
+
+    # A function need not read all; a group longer than a batch goes on in further frames.
+    large = spark.range(25_000).selectExpr("if(id < 24000, 'large', cast(id as string)) as k", "cast(id as int) as i", "id as n", "true as f")
+    assert grouped_map(large, ["k"], some, found_schema := "k string, order string, last string, kinds string").count() == 1001
+    size = lambda frames: iter([pd.DataFrame({"k": ["x"], "order": [str(sum(map(len, frames)))], "last": [""], "kinds": [""]})])
+    sums = [int(r["order"]) for r in grouped_map(large, ["k"], size, found_schema, order=["i"]).collect()]
+    assert sorted(sums) == [1] * 1000 + [24000]
