@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import neardup, packing, quality, secrets, templates
 from tabloom.sources.passengers import table
-from tabloom.sources.shared import materialize
+from tabloom.sources.shared import discard, materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.alignment import distance_within
 from tabloom.llm.batches import texts_of
 from tabloom.llm.components import components, joined_classes
-from tabloom.sources.shared import materialize
+from tabloom.sources.shared import brief_shuffles, discard, materialize
 
 WORDS = 4
 ENTRIES = 64
@@ -356,7 +356,7 @@ def block_links(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, block_texts: int) -> DataFrame:
-    """Rows (entry, g, first, second, block, visitor, node, size, class): what is to be compared with what.
+    """Stored rows (entry, g, first, second, block, visitor, node, size, class): what is to be compared with what.
 
     An entry of more than a block has a group ``g`` for each range of lengths, with the texts of the next longer one
     as visitors; lengths that allow a link are in the same range or in neighbouring ones. Others are one group.
@@ -386,6 +386,7 @@ def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, bloc
         .drop("n")
     )
     placed = materialize(placed)
+    discard(labelled)
     counts = placed.groupBy("entry", "g", "class").agg(
         F.count(F.lit(1)).alias("n"), F.sum((~F.col("visitor")).cast("long")).alias("home"),
         F.min("size").alias("least"), F.max("size").alias("most"),
@@ -418,14 +419,17 @@ def _open_blocks(grouped: DataFrame, classes: DataFrame, similarity: float, bloc
     against = F.sequence(F.when(major, F.col("majors")).otherwise(zero), blocks - 1)
     other = F.when(F.col("single"), F.array(zero)).otherwise(against)
     near = (F.col("size") >= similarity * F.col("least") - 1e-6) & (similarity * F.col("size") <= F.col("most") + 1e-6)
-    return (
-        placed.join(materialize(groups), ["entry", "g"])
+    groups = materialize(groups)
+    compared = materialize(
+        placed.join(groups, ["entry", "g"])
         .where(~major | near)
         .withColumn("block", block)
         .withColumn("other", F.explode(other))
         .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
         .select("entry", "g", "first", "second", "block", "visitor", "node", "size", "class")
     )
+    discard(placed, counts, groups)
+    return compared
 
 
 def near_duplicates(
@@ -437,14 +441,26 @@ def near_duplicates(
     words: int = WORDS,
     block_texts: int = BLOCK_TEXTS,
 ) -> DataFrame:
-    """One row per row of ``df``: key, ``component_id`` (smallest key of its class), ``kept``."""
-    members = materialize(sketches(df, key, text, entries, words).withColumn("row", F.monotonically_increasing_id()))
+    """One row per row of ``df``: key, ``component_id`` (smallest key of its class), ``kept``.
+
+    The disk holds what is still read, not all that was stored on the way.
+    """
+    with brief_shuffles(df.sparkSession):
+        return _classified(df, key, text, similarity, entries, words, block_texts)
+
+
+def _classified(
+    df: DataFrame, key: str, text: str, similarity: float, entries: int, words: int, block_texts: int
+) -> DataFrame:
+    sketched = materialize(sketches(df, key, text, entries, words).withColumn("row", F.monotonically_increasing_id()))
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("row").alias("row"))
-    distinct = members.groupBy("digest").agg(
+    distinct = sketched.groupBy("digest").agg(
         F.min("row").alias("node"), F.min(order).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
         F.first("bags").alias("bags"),
     )
     distinct = materialize(distinct)
+    members = materialize(sketched.select("key", "digest", "row"))
+    discard(sketched)
     entry = distinct.select("node", "size", F.explode(F.array_distinct("sketch")).alias("entry"))
     # Few of the entries have a partner; the other rows are read no more. One shuffle brings an entry's texts together.
     of_entry = Window.partitionBy("entry")
@@ -462,25 +478,34 @@ def near_duplicates(
     wanted = distinct.join(grouped.select("node").distinct(), "node", "left_semi").select(
         F.col("digest").alias("d"), F.col("least.key").alias("k"), "node", F.col("size").alias("s"), F.col("bags").alias("b")
     )
+    wanted = materialize(wanted)
+    numbered = materialize(distinct.select("digest", "node"))
+    discard(distinct)
     bodies = df.select(F.col(key).alias("key"), digest(text).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
-    found = bodies.join(materialize(wanted).hint("merge"), same).groupBy("node").agg(
+    found = bodies.join(wanted.hint("merge"), same).groupBy("node").agg(
         F.first("text").alias("text"), F.first("s").alias("size"), F.first("b").alias("bags")
     )
     texts = materialize(found)
+    discard(wanted)
     side = lambda c: texts.select(*[F.col(n).alias(c if n == "node" else f"{n}_{c}") for n in texts.columns])
     star_edges = materialize(verify(stars.join(side("a"), "a").join(side("b"), "b"), similarity))
     classes = components(star_edges)
+    discard(stars, star_edges)
 
     # Entries whose texts are still in several classes.
-    blocked = materialize(_open_blocks(grouped, classes, similarity, block_texts))
+    blocked = _open_blocks(grouped, classes, similarity, block_texts)
+    discard(grouped)
     own = blocked.groupBy("node").agg(F.collect_set("entry").alias("entries"))  # as many as a sketch has at most
     block_edges = block_links(blocked.join(texts.drop("size").join(own, "node"), "node"), similarity)
     linked = joined_classes(classes, block_edges)
+    discard(blocked, texts)
 
-    nodes = distinct.select("digest", "node").join(linked.withColumnRenamed("vertex", "node"), "node", "left")
+    nodes = numbered.join(linked.withColumnRenamed("vertex", "node"), "node", "left")
     named = materialize(nodes.select("digest", F.coalesce("component", "node").alias("class")))
-    found = materialize(members.select("key", "digest", "row").join(named, "digest").select("key", "row", "class"))
+    discard(numbered)
+    found = materialize(members.join(named, "digest").select("key", "row", "class"))
+    discard(members, named)
     keepers = materialize(found.groupBy("class").agg(F.min(order).alias("keeper")))
     return found.join(keepers, "class").select(
         F.col("key").alias(key),

@@ -1,8 +1,10 @@
+import glob
 import random
 from collections import defaultdict
 
 from tabloom.llm import neardup
 from tabloom.llm.queries import op2_order_minhash
+from tabloom.sources import shared
 from tabloom.sources.passengers import table
 
 from .common import CHECKED, ODD, WORDS, documents, prose
@@ -40,6 +42,15 @@ def test_copies_near_copies_and_clean_documents(spark):
     assert all(row.kept == (row.doc_id == row.component_id) for row in found)
 
 
+def test_neither_texts_nor_sketches_stay_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}")
+    rows = [(i, prose(i % 50, 150)) for i in range(100)] + [(100 + i, changed(prose(i, 150), i, 3)) for i in range(50)]
+    found = neardup.near_duplicates(documents(spark, rows))
+    columns = [set(spark.read.parquet(path).columns) for path in glob.glob(f"{tmp_path}/tabloom-*/table-*")]
+    assert columns and not any(names & {"sketch", "bags", "text"} for names in columns)
+    assert sum(row.kept for row in found.collect()) == 50
+
+
 def test_links_are_sensitive_to_order(spark):
     words = prose(1, 200).split()
     swapped = words[100:] + words[:100]

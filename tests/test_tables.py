@@ -1,4 +1,5 @@
 import glob
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +10,7 @@ from tabloom.plans.clean import clean
 from tabloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_SCHEMA
 from tabloom.sources import shared
 from tabloom.sources.passengers import passengers
-from tabloom.sources.shared import materialize, remove_tables, shared_folder, training_table
+from tabloom.sources.shared import brief_shuffles, discard, materialize, remove_tables, shared_folder, training_table
 from tabloom.sources.tables import read_checked, read_table, write_table
 from tests.conftest import SMALL
 
@@ -97,6 +98,38 @@ def test_tables_of_the_application_can_be_removed(spark, tmp_path, monkeypatch):
     assert not glob.glob(f"{tmp_path}/tabloom-*")
 
 
+def test_only_stored_tables_are_discarded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}")
+    one, two = materialize(spark.range(5)), materialize(spark.range(7))
+    derived = one.where("id > 1")
+    discard(derived, spark.range(3))
+    assert len(glob.glob(f"{tmp_path}/tabloom-*/table-*")) == 2 and derived.count() == 3
+    discard(one, one)
+    assert len(glob.glob(f"{tmp_path}/tabloom-*/table-*")) == 1 and two.count() == 7
+    remove_tables(spark)
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    def files():
+        kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in kept.mkString(",").split(",") if "/shuffle_" in name}
+
+    def left():
+        until = time.time() + 20
+        while (more := files() - before) and time.time() < until:
+            time.sleep(0.1)
+        return more
+
+    df = spark.range(1000).repartition(5, "id")
+    before, setting = files(), spark.conf.get(shared.SHUFFLE_CLEANUP, None)
+    with pytest.raises(ZeroDivisionError), brief_shuffles(spark):
+        stored = materialize(df)
+        assert not left()
+        assert stored.count() == 1000 and not left()
+        raise ZeroDivisionError
+    assert spark.conf.get(shared.SHUFFLE_CLEANUP, None) == setting
+
+
 def test_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
     lines = ["k,v,w", "1,x,2.5", "2,y", "3,z,1.0,more", "four,u,1.0", "5,,", '6,"a,b",7']
     (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
