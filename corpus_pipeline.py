@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import neardup, packing, quality, secrets, templates
 from tabloom.sources.passengers import table
-from tabloom.sources.shared import discard, materialize
+from tabloom.sources.shared import TEXT_CODEC, discard, materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule go. Cutoffs are set on the labelled documents among ``docs``."""
-    measured = materialize(quality.measure(docs))
+    measured = materialize(quality.measure(docs), codec=TEXT_CODEC)
     cutoffs = quality.thresholds(measured, table(spark, sf_dir, "labels"))
     return quality.judge(measured, cutoffs).where("kept").select(*docs.columns)
 
@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), codec=TEXT_CODEC)
     # By row number, so that of repeated rows one stays, too; the smallest is the first as stored.
     kept = neardup.near_duplicates(rows, key="_row").where("kept").select("_row")
     return rows.join(materialize(kept).hint("merge"), "_row", "left_semi").select(*docs.columns)
@@ -65,6 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), codec=TEXT_CODEC)
         discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

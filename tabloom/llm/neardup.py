@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.alignment import distance_within
 from tabloom.llm.batches import texts_of
 from tabloom.llm.components import components, joined_classes
-from tabloom.sources.shared import brief_shuffles, discard, materialize
+from tabloom.sources.shared import TEXT_CODEC, brief_shuffles, discard, materialize
 
 WORDS = 4
 ENTRIES = 64
@@ -486,7 +486,7 @@ def _classified(
     found = bodies.join(wanted.hint("merge"), same).groupBy("node").agg(
         F.first("text").alias("text"), F.first("s").alias("size"), F.first("b").alias("bags")
     )
-    texts = materialize(found)
+    texts = materialize(found, codec=TEXT_CODEC)
     discard(wanted)
     side = lambda c: texts.select(*[F.col(n).alias(c if n == "node" else f"{n}_{c}") for n in texts.columns])
     star_edges = materialize(verify(stars.join(side("a"), "a").join(side("b"), "b"), similarity))

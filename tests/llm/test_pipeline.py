@@ -1,3 +1,4 @@
+import glob
 import zlib
 from collections import defaultdict
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from tabloom.sources import shared
 from tabloom.sources.shared import materialize
 
 from .common import CHECKED, documents, prose
@@ -60,6 +62,18 @@ def test_near_dedup_keeps_one_of_equal_texts(stages):
     assert len(set(texts)) == len(texts) < before.count()
 
 
+def test_copies_of_the_texts_are_few_and_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: f"{tmp_path}")
+    docs = documents(spark, [(i, prose(i % 20, 200)) for i in range(40)]).select(*COLUMNS)
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_dedup):
+        before = set(glob.glob(f"{tmp_path}/tabloom-*/table-*"))
+        stage(spark, docs, CHECKED)
+        tables = set(glob.glob(f"{tmp_path}/tabloom-*/table-*")) - before
+        copies = [path for path in tables if "text" in spark.read.parquet(path).columns]
+        assert len(copies) == 1
+        assert all(part.endswith(".zstd.parquet") for part in glob.glob(f"{copies[0]}/part-*"))
+
+
 def test_no_owner_specific_secret_is_left(stages):
     _, before, after = stages[3]
     old, new = ({r.doc_id: r.text for r in df.collect()} for df in (before, after))
