@@ -1,7 +1,8 @@
 """Perceptrons fitted on counted rows: different ones, each with the number of equal rows that it stands for.
 
 MLlib's takes single rows only. A counted one is fitted with MLlib's loss (cross entropy, its mean over all rows), start and optimizer: L-BFGS with a strong
-Wolfe line search and the same rules to stop. Every evaluation is one Spark job, of which each task returns one gradient.
+Wolfe line search and the same rules to stop. Every evaluation is one Spark job, of which each task returns one gradient; rows
+that one task can hold are fitted in one, without a job for each step.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 #: MLlib's settings of the optimizer: steps that are remembered, losses that a new one is compared with, evaluations of a
 #: line search and of its zoom, and the conditions for a step.
 STEPS, LOSSES, TRIES, DECREASE, CURVATURE = 10, 20, 10, 1e-4, 0.9
+#: Rows times neurons that are fitted in one task.
+MOST_OUTPUTS = 4_000_000
 
 
 def takes_counts(estimator: Estimator) -> bool:
@@ -180,24 +183,51 @@ def fit_counted_perceptron(estimator: MultilayerPerceptronClassifier, rows: Data
     unmoved = {estimator.maxIter: 0}
     given = estimator.getInitialWeights() if estimator.isSet(estimator.initialWeights) else None
     start = np.asarray((given if given is not None else model(unmoved).weights).toArray())
-    plain = rows.select(F.col(label).alias("label"), vector_to_array(features).alias("x"), F.col(weight).alias("weight"))
+    plain = rows.select(
+        F.col(label).alias("label"), vector_to_array(features).alias("x"), F.col(weight).alias("weight"), F.spark_partition_id().alias("part")
+    )
     kept = plain.persist(StorageLevel.MEMORY_AND_DISK)
+    iterations, tolerance = estimator.getMaxIter(), estimator.getTol()
+    batch_rows = int(rows.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    batch_rows = batch_rows if batch_rows > 0 else MOST_OUTPUTS
+
+    def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+        x = batch.column("x").flatten().to_numpy()
+        return [x.reshape(batch.num_rows, layers[0]), *(batch.column(c).to_numpy() for c in ("label", "weight"))]
+
+    def sums(weights: np.ndarray, batches: Iterator[list[np.ndarray]]) -> np.ndarray:
+        """Of a part's batches: the weight, the loss and its gradient."""
+        total = np.zeros(2 + len(weights))
+        for x, labels, weight in batches:
+            total[0] += weight.sum()
+            total[1:] += loss_and_gradient(weights, layers, x, labels, weight)
+        return total
+
+    def mean(totals: Sequence[Sequence[float]]) -> tuple[float, np.ndarray]:
+        total = np.sum(totals, axis=0)
+        return total[1] / total[0], total[2:] / total[0]
 
     def evaluate(weights: np.ndarray) -> tuple[float, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(2 + len(weights))
-            for batch in batches:
-                labels, weight = batch.column("label").to_numpy(), batch.column("weight").to_numpy()
-                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, layers[0])
-                total[0] += weight.sum()
-                total[1:] += loss_and_gradient(weights, layers, x, labels, weight)
+            total = sums(weights, map(arrays, batches))
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["total"])
 
-        total = np.sum([row["total"] for row in kept.mapInArrow(run, "total array<double>").collect()], axis=0)
-        return total[1] / total[0], total[2:] / total[0]
+        return mean([row["total"] for row in kept.mapInArrow(run, "total array<double>").collect()])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(batch.column("part").to_numpy(), *arrays(batch)) for batch in batches if batch.num_rows]
+        part, *columns = (np.concatenate(column) for column in zip(*found))
+        # The parts and batches that ``evaluate`` would sum, so that the steps are the same.
+        own = [[column[part == number] for column in columns] for number in np.unique(part)]
+        cut = [[[c[i : i + batch_rows] for c in of_part] for i in range(0, len(of_part[0]), batch_rows)] for of_part in own]
+        weights = minimize(lambda weights: mean([sums(weights, of_part) for of_part in cut]), start, iterations, tolerance)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tolist()], pa.list_(pa.float64()))], ["found"])
 
     try:
-        found = minimize(evaluate, start, estimator.getMaxIter(), estimator.getTol())
+        if kept.count() * sum(layers) <= MOST_OUTPUTS:
+            found = np.array(kept.coalesce(1).mapInArrow(whole, "found array<double>").first()["found"])
+        else:
+            found = minimize(evaluate, start, iterations, tolerance)
     finally:
         kept.unpersist()
     fitted = model(unmoved | {estimator.initialWeights: Vectors.dense(found)})

@@ -16,7 +16,7 @@ from tabloom.operators.evaluate import accuracy, area_under_roc, confidence
 from tabloom.operators.features import feature_frames, feature_pipeline, to_label
 from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
 from tabloom.operators.split import Key, hash_split
-from tabloom.operators.tuning import Search, cross_validate
+from tabloom.operators.tuning import Folds, Search, cross_validate
 from tabloom.schemas import COMPARISON_SCHEMA, FEATURES, TARGET
 from tabloom.sources.shared import materialize, training_table, written
 
@@ -146,9 +146,13 @@ def compare_models(
         model, predictions = fit_predict(Pipeline(stages=[*stages, estimator]), train, test)
         return _Step(model, *scored_rows(predictions))
 
+    tables = []  # the folds, which all searches share
+
     def searched(name, spec, grid):
+        if not tables:
+            tables.append(Folds(train, key, folds, seed, stages))
         found = cross_validate(
-            spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages
+            spec, train, len(features), key, folds, grid, classes, seed, parallelism, keep_submodels, stages, tables[0]
         )
         searches[name] = found
         scored, facts = scored_rows(found.model.transform(test))

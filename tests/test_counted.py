@@ -4,6 +4,7 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tabloom.operators import counted as counted_module
 from tabloom.operators import tuning
 from tabloom.operators.counted import fit_counted_perceptron, loss_and_gradient, takes_counts
 from tabloom.operators.features import feature_pipeline
@@ -50,6 +51,20 @@ def test_counted_perceptron_takes_the_steps_of_mllib(spark, counted, iterations)
     assert found.getMaxIter() == iterations and found.transform(counted).count() == counted.count()
 
 
+def test_few_counted_rows_are_fitted_in_one_task_with_the_same_steps(spark, counted, monkeypatch):
+    rows = counted.withColumn("w", F.col(tuning.COUNT).cast("double")).repartition(3, "label", "features")
+    estimator = MultilayerPerceptronClassifier(layers=[2, 5, 4, 2], maxIter=30, seed=3, tol=1e-12)
+    jobs, found = [], []
+    for most in (counted_module.MOST_OUTPUTS, 0):
+        monkeypatch.setattr(counted_module, "MOST_OUTPUTS", most)
+        spark.sparkContext.setJobGroup(f"perceptron {most}", "")
+        found.append(fit_counted_perceptron(estimator, rows, "w").weights.toArray())
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"perceptron {most}")))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[0] < 30 < jobs[1]  # a job for each step before
+    np.testing.assert_allclose(found[0], found[1], rtol=1e-9)
+
+
 def test_what_takes_no_counts():
     build = CLASSIFIERS["random_forest"].build
     assert takes_counts(build(2)) and not takes_counts(build(2, minInstancesPerNode=3))
