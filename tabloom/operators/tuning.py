@@ -167,6 +167,15 @@ def _families(spec: ModelSpec, maps: Sequence[dict[str, Any]]) -> list[list[int]
     return list(found.values())
 
 
+def fitted_model(estimator: Estimator, rows: DataFrame) -> Model:
+    """``estimator`` fitted on ``rows``, each of which stands for as many as its ``WEIGHT`` says, if it has one."""
+    if WEIGHT not in rows.columns:
+        return estimator.fit(rows)
+    if isinstance(estimator, MultilayerPerceptronClassifier):
+        return fit_counted_perceptron(estimator, rows, WEIGHT)
+    return estimator.copy({estimator.getParam("weightCol"): WEIGHT}).fit(rows)
+
+
 class Folds:
     """The folds of a training table and what a search reads of them, each made once: searches of one table share them.
 
@@ -239,6 +248,20 @@ class Folds:
         rows, count = self._single(fold)
         return shared.spread(rows, count, rows_per_part, DEAL if self.large else None)
 
+    def whole_model(self, spec: ModelSpec, estimator: Estimator, countable: bool) -> PipelineModel:
+        """``estimator`` fitted on all rows, behind the prepared stages."""
+        rows = self.fit_rows(None, spec, countable).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = fitted_model(estimator, rows)
+        finally:
+            rows.unpersist()
+        return PipelineModel(stages=[*self.prepared(None).stages, model])
+
+    def has_few_rows(self, fold: int | None = None) -> bool:
+        """Whether far fewer different rows stand for those of a large table."""
+        sums = self._counted(fold)[1] if self.large else None
+        return bool(sums and sums["different"] and 2 * sums["different"] <= sums["rows"])
+
 
 def cross_validate(
     spec: ModelSpec,
@@ -275,18 +298,11 @@ def cross_validate(
     def longest(family: list[int]) -> int:
         return max(family, key=lambda entry: maps[entry].get(spec.lengthens, 0))
 
-    def chosen(entry: int, **more: Any) -> Estimator:
-        return estimator.copy({estimator.getParam(name): value for name, value in (maps[entry] | more).items()})
+    def chosen(entry: int) -> Estimator:
+        return estimator.copy({estimator.getParam(name): value for name, value in maps[entry].items()})
 
     countable = tables.large and spec.weighs and all(takes_counts(chosen(entry)) for entry in range(len(maps)))
 
-    def fit(rows: DataFrame, entry: int) -> Model:
-        if WEIGHT not in rows.columns:
-            return chosen(entry).fit(rows)
-        if isinstance(estimator, MultilayerPerceptronClassifier):
-            return fit_counted_perceptron(chosen(entry), rows, WEIGHT)
-        return chosen(entry, weightCol=WEIGHT).fit(rows)
-
     def ready(fold: int) -> DataFrame:
         return tables.fit_rows(fold, spec, countable, ROWS_PER_PART).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -350,7 +366,7 @@ def cross_validate(
         try:
             with ThreadPool(max(1, min(side, len(tasks)))) as pool:
                 # Wrapped one by one: fits that share one set of Spark's local properties would change it under each other.
-                ready_fits = [partial(fit, wave[fold], longest(families[number])) for fold, number in tasks]
+                ready_fits = [partial(fitted_model, chosen(longest(families[number])), wave[fold]) for fold, number in tasks]
                 work = [inheritable_thread_target(spark)(task) for task in ready_fits]
                 fitted = dict(zip(tasks, pool.map(lambda task: task(), work, chunksize=1)))
         finally:
@@ -370,10 +386,5 @@ def cross_validate(
                 submodels.append([kept[entry] for entry in range(len(maps))])
     metrics = [sum(found) / len(found) if found else None for found in totals]
     best = max(range(len(maps)), key=lambda entry: -1.0 if metrics[entry] is None else metrics[entry])
-    rows = tables.fit_rows(None, spec, countable).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit(rows, best)
-    finally:
-        rows.unpersist()
-    whole = PipelineModel(stages=[*tables.prepared(None).stages, model])
-    return Search(maps, metrics, best, whole, best_parameters(spec, model), folds * len(families), submodels)
+    whole = tables.whole_model(spec, chosen(best), countable)
+    return Search(maps, metrics, best, whole, best_parameters(spec, whole.stages[-1]), folds * len(families), submodels)

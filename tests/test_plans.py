@@ -157,3 +157,23 @@ def test_interrupted_comparison_goes_on_from_its_store(spark, people, tmp_path,
         compare_models(people, ["PassengerId"], models, store=f"{tmp_path}/s", **options | {"seed": 2})
     with pytest.raises(ValueError, match="other rows or parameters"):
         compare_models(people.where("Age < 40"), ["PassengerId"], models, store=f"{tmp_path}/s", **options)
+
+
+def test_comparison_of_a_large_table_counts_its_rows_once(spark, people, monkeypatch):
+    from tabloom.operators import tuning
+
+    rows = people.select("PassengerId", "Survived", "female", "Pclass", "low").localCheckpoint()
+    options = {"features": ["female", "Pclass", "low"], "folds": 2, "models": ["logistic", "gbt", "decision_tree", "naive_bayes"]}
+    options["grids"] = {"logistic": {"regParam": [0.0, 0.1]}, "gbt": {"maxDepth": [2, 3], "maxIter": [3]}, "decision_tree": {"maxDepth": [2]}}
+    plain = compare_models(rows, ["PassengerId"], **options)
+    counts = []
+    real = tuning.counted_rows
+    monkeypatch.setattr(tuning, "ROWS_PER_PART", 500)
+    monkeypatch.setattr(tuning, "MOST_WEIGHT", 1 / 50)
+    monkeypatch.setattr(tuning, "counted_rows", lambda df: counts.append(df) or real(df))
+    found = compare_models(rows, ["PassengerId"], **options)
+    assert len(counts) == 3 + 2  # all rows, those of two folds, and held ones: each search counted its own before
+    for mine, theirs in zip(found.table.collect(), plain.table.collect(), strict=True):
+        assert mine["Name"] == theirs["Name"] and mine["Best_Param"] == theirs["Best_Param"]
+        for metric in (AREA_COLUMN, "Accuracy"):
+            assert mine[metric] == (theirs[metric] if theirs[metric] is None else pytest.approx(theirs[metric], abs=1e-6))
