@@ -257,11 +257,6 @@ class Folds:
             rows.unpersist()
         return PipelineModel(stages=[*self.prepared(None).stages, model])
 
-    def has_few_rows(self, fold: int | None = None) -> bool:
-        """Whether far fewer different rows stand for those of a large table."""
-        sums = self._counted(fold)[1] if self.large else None
-        return bool(sums and sums["different"] and 2 * sums["different"] <= sums["rows"])
-
 
 def cross_validate(
     spec: ModelSpec,

@@ -12,7 +12,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators.counted import takes_counts
 from tabloom.operators.evaluate import accuracy, area_under_roc, confidence
 from tabloom.operators.features import feature_frames, feature_pipeline, to_label
 from tabloom.operators.models import CLASSIFIERS, STANDARD, fit_predict
@@ -110,7 +109,7 @@ def compare_models(
     on, in each fold anew. Every model scores the test rows once; label, score, prediction and
     confidence are stored, and all metrics come from there. A metric that is not measured for a model
     is null. ``searches`` has the fitted searches, with their sub-models if ``keep_submodels``. Large tables with few different
-    rows are counted once, for plain models (but forests) and for all searches.
+    rows are counted once for all searches.
 
     Each finished step (a plain model, or a search) keeps its model, its scored test rows and its facts in a folder
     below ``store``. A later call with the same rows and parameters goes on from there, also in another application, and may
@@ -146,17 +145,13 @@ def compare_models(
     tables = []
 
     def of_train():
-        """The training rows as all models read them."""
+        """The training rows as all searches read them."""
         if not tables:
             tables.append(Folds(train, key, folds, seed, stages))
         return tables[0]
 
     def plain(name, spec):
         estimator = spec.build(len(features), classes, seed)
-        # A forest draws rows, so it takes the table's own.
-        if spec.weighs and not spec.draws and takes_counts(estimator) and of_train().has_few_rows():
-            model = of_train().whole_model(spec, estimator, True)
-            return _Step(model, *scored_rows(model.transform(test)))
         model, predictions = fit_predict(Pipeline(stages=[*stages, estimator]), train, test)
         return _Step(model, *scored_rows(predictions))
 
